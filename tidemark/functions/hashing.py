@@ -5,17 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASH_RANGE = 2**32
+HASH_BITS = 60
 
 
 def seeded_hash(seed: int | str | Column, *parts: str | Column) -> Column:
-    """Uniform integer in ``[0, 2**32)`` from the seed and the given columns."""
+    """Uniform integer in ``[0, 2**60)`` from the seed and the given columns."""
     seed = seed if isinstance(seed, Column) else F.lit(str(seed))
     columns = [F.col(p) if isinstance(p, str) else p for p in parts]
     text = F.concat_ws("-", seed, *[c.cast("string") for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def seeded_uniform(seed: int | str | Column, *parts: str | Column) -> Column:
     """Uniform double in ``[0, 1)``."""
-    return seeded_hash(seed, *parts).cast("double") / F.lit(float(HASH_RANGE))
+    return F.shiftright(seeded_hash(seed, *parts), 8).cast("double") / F.lit(float(2 ** (HASH_BITS - 8)))
+
+
+def hash_bin(hashed: str | Column, log_bins: int) -> Column:
+    """One of ``2**log_bins`` equal ranges of the hash, in its order."""
+    return F.shiftright(F.col(hashed) if isinstance(hashed, str) else hashed, HASH_BITS - log_bins).cast("int")
+
+
+# The same hash as SQL text, for the checking queries.
+def hash_sql(*parts: str) -> str:
+    return f"(('0x' || substr(md5(concat_ws('-', {', '.join(parts)})), 1, {HASH_BITS // 4}))::bigint)"

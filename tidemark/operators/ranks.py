@@ -36,12 +36,6 @@ def value_bins(df: DataFrame, value: str | Column, bins: int | None = None) -> C
     return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < value))
 
 
-def hash_bins(hash_column: str | Column, bins: int = 256, bits: int = 32) -> Column:
-    """Monotone bin number of a uniform unsigned hash; needs no look at the data."""
-    column = F.col(hash_column) if isinstance(hash_column, str) else hash_column
-    return F.floor(column.cast("double") / F.lit(float(2**bits)) * F.lit(bins)).cast("int")
-
-
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],

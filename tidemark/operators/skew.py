@@ -35,15 +35,18 @@ def salted_join(
     how: str = "inner",
     salts: int = 32,
     share: float = 0.01,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that spreads the hot keys of ``big`` over ``salts`` tasks.
 
     Rows of ``big`` with a hot key get a salt from a hash of ``spread``; matching rows of
     ``small`` are repeated once per salt. The hot key list has at most ``1/share`` rows, which
-    is what makes it safe to broadcast. Supports inner, left, left_semi and left_anti.
+    is what makes it safe to broadcast; a caller that already knows it passes ``hot``.
+    Supports inner, left, left_semi and left_anti.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(big, on, share).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(big, on, share) if hot is None else hot
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
     left = big.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
     zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")

@@ -27,11 +27,9 @@ def with_clause(needs: tuple[str, ...], body: str) -> str:
         visit(name)
     if not ordered:
         return body
-    recursive = "recursive " if body.lstrip().startswith("recursive ") else ""
-    body = body.lstrip().removeprefix("recursive ")
     heads = ", ".join(f"{n} as ({SQL[n]})" for n in ordered)
-    joiner = ", " if body.startswith("with_more ") else " "
-    return f"with {recursive}{heads}{joiner}{body.removeprefix('with_more ')}"
+    # a body may start with ", name as (...)" to go on with the list of named tables
+    return f"with recursive {heads} {body}"
 
 
 SQL["comments"] = """
