@@ -80,10 +80,17 @@ def row_numbers(
     return running_totals(df, keys, [order], F.lit(1).cast("bigint"), bins, name)
 
 
-def average_ranks(df: DataFrame, value: str) -> DataFrame:
-    """Distinct values with their one-based average rank (ties share the mean rank)."""
-    ranked = value_counts_before(df, [], value)
-    return ranked.select(value, "n", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
+def average_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """Distinct values per key with their one-based average rank (ties share the mean rank)."""
+    ranked = value_counts_before(df, keys, value, weight)
+    return ranked.select(*keys, value, "n", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
+
+
+def order_number(text: str | Column) -> Column:
+    """Number that follows the byte order of a text by its first seven bytes, for ``value_bins``."""
+    column = F.col(text) if isinstance(text, str) else text
+    head = F.hex(F.substring(F.encode(column.cast("string"), "UTF-8"), 1, 7))
+    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("bigint")
 
 
 def exact_quantiles(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from ..session import cut_lineage
 from .ranks import average_ranks
 from .skew import salted_join
 
@@ -25,22 +26,31 @@ def correlate(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), pearson(x, y).alias("r")).select("n", "r", (F.col("r") * F.col("r")).alias("r2"))
 
 
-def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation with average ranks for ties.
+def spearman(df: DataFrame, x: str, others: Sequence[str]) -> DataFrame:
+    """Rank correlation of ``x`` with each other column, average ranks for ties.
 
-    Points shrink to distinct pairs with a count, ranks are computed per distinct value and
-    joined on with hot values spread out.
+    Points shrink to distinct pairs with a count; ranks are computed per distinct value, for
+    all columns in one pass, and joined on with hot values spread out.
     """
-    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
+    cells = [
+        F.struct(F.lit(y).alias("column"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+        for y in others
+    ]
+    each = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").where("_x is not null and _y is not null")
+    pairs = cut_lineage(each.groupBy("column", "_x", "_y").agg(F.count("*").alias("_n")))
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("_x").alias("value")), F.struct(F.lit(1).alias("side"), F.col("_y").alias("value"))
+    )
+    values = pairs.select("column", "_n", F.explode(sides).alias("_s")).select("column", "_n", "_s.*")
+    ranks = average_ranks(values, ["column", "side"], "value", "_n")
+    rx = ranks.where("side = 0").select("column", F.col("value").alias("_x"), F.col("rank").alias("_rx"))
+    ry = ranks.where("side = 1").select("column", F.col("value").alias("_y"), F.col("rank").alias("_ry"))
+    ranked = salted_join(salted_join(pairs, rx, ["column", "_x"], ["_y"]), ry, ["column", "_y"], ["_x"])
+    sizes = pairs.groupBy("column").agg(((F.sum("_n") + 1) / 2.0).alias("_m"))  # one row per column
+    dx, dy, n = F.col("_rx") - F.col("_m"), F.col("_ry") - F.col("_m"), F.col("_n")
+    return ranked.join(sizes, "column").groupBy("column").agg(
+        ratio(F.sum(n * dx * dy), F.sqrt(F.sum(n * dx * dx)) * F.sqrt(F.sum(n * dy * dy))).alias("r")
     )
-    pairs = points.groupBy("_x", "_y").agg(F.count("*").alias("_n"))
-    rx = average_ranks(points, "_x").select("_x", F.col("rank").alias("_rx"))
-    ry = average_ranks(points, "_y").select("_y", F.col("rank").alias("_ry"))
-    ranked = salted_join(salted_join(pairs, rx, ["_x"], ["_y"]), ry, ["_y"], ["_x"])
-    middle = (points.agg(F.count("*")).scalar() + 1) / 2.0
-    dx, dy, n = F.col("_rx") - middle, F.col("_ry") - middle, F.col("_n")
-    return ranked.agg(ratio(F.sum(n * dx * dy), F.sqrt(F.sum(n * dx * dx)) * F.sqrt(F.sum(n * dy * dy))).alias("r"))
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

@@ -1,4 +1,4 @@
 """Registered queries; importing this package fills the registry."""
 
-from . import core, explore, matching, sport  # noqa: F401
+from . import core, explore, graphs, matching, sport  # noqa: F401
 from .registry import REGISTRY

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_sql
 from ..functions.numeric import rounded
 from ..operators import profile, relational as rel, resample, stats
-from ..session import cut_lineage
 from . import standins as si
 from .registry import query
 from .tables import Tables
@@ -130,12 +129,8 @@ def pearson(t: Tables) -> DataFrame:
     """ + " union all ".join(f"select '{p}' as percentile, round(corr(r_year_built, r_{p}), 6) as r from ranked"
                                for p in ("p25", "p50", "p75")), ("properties",))
 def spearman(t: Tables) -> DataFrame:
-    points = cut_lineage(percentiles(t))
-    result = None
-    for p in ("p25", "p50", "p75"):
-        one = stats.spearman(points, "year_built", p).select(F.lit(p).alias("percentile"), "r")
-        result = one if result is None else result.unionByName(one)
-    return six(result, "r")
+    found = stats.spearman(percentiles(t), "year_built", ["p25", "p50", "p75"])
+    return six(found.withColumnRenamed("column", "percentile"), "r")
 
 
 @query("spearman_rows", """
@@ -144,7 +139,7 @@ def spearman(t: Tables) -> DataFrame:
                  from properties where year_built is not null)
     select round(corr(a, b), 6) as r from ranked""", ("properties",))
 def spearman_rows(t: Tables) -> DataFrame:
-    return six(stats.spearman(si.properties(t), "year_built", "current"), "r")
+    return six(stats.spearman(si.properties(t), "year_built", ["current"]).select("r"), "r")
 
 
 @query("corr_matrix", " union all ".join(
