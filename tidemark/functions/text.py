@@ -62,6 +62,13 @@ def min_number(text: str | Column, digits: str = r"\d+") -> Column:
     return F.array_min(F.transform(found, lambda d: d.try_cast("bigint")))
 
 
+def smallest_year(text: str | Column, lo: int, hi: int) -> Column:
+    """Smallest digit run of four digits within a range, null when there is none."""
+    runs = F.filter(F.regexp_extract_all(col(text), F.lit(r"(\d+)"), F.lit(1)), lambda d: F.length(d) == 4)
+    years = F.transform(runs, lambda d: d.try_cast("int"))
+    return F.array_min(F.filter(years, lambda y: y.between(lo, hi)))
+
+
 def clean_text(text: str | Column) -> Column:
     """Collapse white space, trim, title case."""
     return F.initcap(F.trim(F.regexp_replace(col(text), r"\s+", " ")))
