@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import equal_bin, ratio
+from ..session import cut_lineage
 from .ranks import exact_quantiles
 from .relational import top_k
 from .skew import broadcast_if_small
@@ -61,7 +62,7 @@ def min_max(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFr
 
 def cluster_size_score(df: DataFrame, cluster: str) -> DataFrame:
     """Score 1 for the smallest cluster, 0 for the largest; null when all are of one size."""
-    sizes = df.groupBy(cluster).agg(F.count("*").alias("_n"))
+    sizes = cut_lineage(df.groupBy(cluster).agg(F.count("*").alias("_n")))
     ends = sizes.agg(F.struct(F.min("_n").alias("lo"), F.max("_n").alias("hi"))).scalar()
     scores = sizes.select(cluster, ratio(ends["hi"] - F.col("_n"), ends["hi"] - ends["lo"]).alias("score"))
     return df.join(broadcast_if_small(scores), cluster)
@@ -172,6 +173,7 @@ def synthesise(
         times = [c for c, t in rows.dtypes if t in ("timestamp", "timestamp_ntz", "date")]
         for c in times:
             rows = rows.withColumns({f"day_{c}": F.dayofmonth(c).cast("string"), f"minute_{c}": F.minute(c).cast("string")}).drop(c)
+        rows = cut_lineage(rows)  # read once per kind of aggregate
         numbers = [
             c for c, t in rows.dtypes
             if c not in skipped and c not in named and t in ("int", "bigint", "double", "float", "smallint")

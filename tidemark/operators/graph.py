@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +16,8 @@ from ..functions.hashing import seeded_hash
 from ..functions.numeric import ratio
 from ..session import cut_lineage
 from .ranks import order_number, row_numbers, running_totals, value_bins
-from .skew import broadcast_if_small, hot_keys, salted_join
+from .skew import all_salts, hot_hashes, salt_of, salted_join
 
-SALTS = 32
 COMPACT_EVERY = 8
 
 
@@ -56,7 +56,11 @@ def vertices(edges: DataFrame) -> DataFrame:
 
 def index_vertices(edges: DataFrame) -> DataFrame:
     """Vertex labels with consecutive numbers in label order."""
-    labels = vertices(edges).withColumnRenamed("id", "label")
+    return number_labels(vertices(edges).withColumnRenamed("id", "label"))
+
+
+def number_labels(labels: DataFrame) -> DataFrame:
+    """Distinct labels with consecutive numbers ``id`` in their order."""
     if dict(labels.dtypes)["label"] == "string":
         bins = value_bins(labels, order_number("label"))
         return running_totals(labels, [], ["label"], F.lit(1).cast("bigint"), bins, "id")
@@ -85,28 +89,36 @@ def filter_vertices(edges: DataFrame, keep: DataFrame, id: str = "id") -> DataFr
 
 @dataclass
 class SpreadEdges:
-    """Edges laid out by source vertex, the few hubs over ``SALTS`` partitions each."""
+    """Edges kept partitioned by source vertex, the few hubs over many partitions each.
+
+    The layout is cached; a lost executor's part is laid out again from the checkpoint below it.
+    """
 
     edges: DataFrame
-    hubs: DataFrame
+    hubs: list[int]
 
     def follow(self, points: DataFrame, vertex: str) -> DataFrame:
-        """Rows of ``points`` joined with the edges leaving their vertex, which becomes ``dst``."""
-        zero, last = F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")
-        copies = F.when(F.col("_hub"), F.sequence(zero, last)).otherwise(F.array(zero))
-        hubs = F.broadcast(self.hubs.withColumnRenamed("src", vertex))
-        sent = points.join(hubs, vertex, "left").withColumn("_salt", F.explode(copies)).drop("_hub")
-        return sent.withColumnRenamed(vertex, "src").join(self.edges, ["src", "_salt"]).drop("_salt")
+        """Rows of ``points`` joined with the edges leaving their vertex: only points move."""
+        kind = dict(self.edges.dtypes)["src"]
+        sent = points.withColumnRenamed(vertex, "src").withColumn("src", F.col("src").cast(kind)).withColumn(
+            "_salt", F.explode(all_salts(["src"], self.hubs))
+        )
+        return sent.join(self.edges, ["src", "_salt"]).drop("_salt")
 
+    def __enter__(self) -> SpreadEdges:
+        return self
 
-def spread(edges: DataFrame, share: float = 0.001) -> SpreadEdges:
-    """Lay edges out once; a hub holds at least ``share`` of them, so there are few."""
+    def __exit__(self, *_: object) -> None:
+        self.edges.unpersist()
+
+
+def spread(edges: DataFrame, share: float = 0.002) -> SpreadEdges:
+    """Lay edges out once; a hub holds about ``share`` of them, so there are few."""
     edges = cut_lineage(edges.where("src is not null and dst is not null").select("src", "dst").distinct())
-    hubs = cut_lineage(hot_keys(edges, ["src"], share).withColumn("_hub", F.lit(True)))
-    salt = F.when(F.col("_hub"), F.pmod(F.xxhash64("dst"), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
-    laid = edges.join(F.broadcast(hubs), "src", "left").withColumn("_salt", salt).drop("_hub")
+    hubs = hot_hashes(edges, ["src"], share)
     width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return SpreadEdges(cut_lineage(laid.repartition(width, "src", "_salt")), hubs)
+    laid = edges.withColumn("_salt", salt_of(["src"], hubs, ["dst"])).repartition(width, "src", "_salt")
+    return SpreadEdges(laid.persist(StorageLevel.MEMORY_AND_DISK), hubs)
 
 
 # -- search -----------------------------------------------------------------------------------
@@ -117,26 +129,26 @@ def bfs(edges: DataFrame, source: object, target: object = None) -> DataFrame:
 
     Stops when nothing new is found or the target is reached.
     """
-    graph = spread(edges)
-    kind = dict(graph.edges.dtypes)["src"]
-    start = graph.edges.sparkSession.range(1).select(
-        F.lit(source).cast(kind).alias("node"), F.lit(None).cast(kind).alias("parent"), F.lit(0).alias("distance")
-    )
-    seen = frontier = cut_lineage(start)
-    distance = 0
-    while True:
-        distance += 1
-        reached = graph.follow(frontier.select("node"), "node").groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
-        frontier = cut_lineage(
-            reached.join(seen.select("node"), "node", "left_anti").select("node", "parent", F.lit(distance).alias("distance"))
+    with spread(edges) as graph:
+        kind = dict(graph.edges.dtypes)["src"]
+        start = graph.edges.sparkSession.range(1).select(
+            F.lit(source).cast(kind).alias("node"), F.lit(None).cast(kind).alias("parent"), F.lit(0).alias("distance")
         )
-        if frontier.isEmpty():
-            return seen
-        seen = seen.unionByName(frontier)
-        if distance % COMPACT_EVERY == 0:
-            seen = cut_lineage(seen)
-        if target is not None and not frontier.where(F.col("node") == target).isEmpty():
-            return seen
+        seen = frontier = cut_lineage(start)
+        distance = 0
+        while True:
+            distance += 1
+            reached = graph.follow(frontier.select("node"), "node").groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
+            frontier = cut_lineage(
+                reached.join(seen.select("node"), "node", "left_anti").select("node", "parent", F.lit(distance).alias("distance"))
+            )
+            if frontier.isEmpty():
+                return seen
+            seen = seen.unionByName(frontier)
+            if distance % COMPACT_EVERY == 0:
+                seen = cut_lineage(seen)
+            if target is not None and not frontier.where(F.col("node") == target).isEmpty():
+                return seen
 
 
 def shortest_path(edges: DataFrame, source: object, target: object) -> list[object]:
@@ -162,34 +174,35 @@ def distance_histogram(edges: DataFrame, sources: DataFrame | None = None) -> Da
     so a round costs one 64-bit ``or`` where pair-wise search would need 64 rows. The largest
     distance is the diameter.
     """
-    graph = spread(both_ways(edges))
-    ids = index_vertices(graph.edges)
-    if sources is not None:
-        ids = row_numbers(ids.join(sources.select(F.col("id").alias("label")).distinct(), "label", "left_semi").select("label"), "label", name="id")
-    bit = F.expr("shiftleft(cast(1 as bigint), cast(id % 64 as int))")
-    frontier = seen = cut_lineage(
-        ids.select(F.col("label").alias("node"), F.floor(F.col("id") / 64).alias("block"), bit.alias("mask"))
-        .groupBy("node", "block").agg(F.bit_or("mask").alias("mask"))
-    )
-    counts, distance = None, 0
-    while True:
-        distance += 1
-        reached = graph.follow(frontier, "node").groupBy(F.col("dst").alias("node"), "block").agg(F.bit_or("mask").alias("_m"))
-        state = reached.join(seen, ["node", "block"], "full").select(
-            "node", "block", F.coalesce("mask", F.lit(0)).alias("mask"),
-            F.coalesce("_m", F.lit(0)).bitwiseAND(F.bitwise_not(F.coalesce("mask", F.lit(0)))).alias("new"),
+    with spread(both_ways(edges)) as graph:
+        ids = index_vertices(graph.edges)
+        if sources is not None:
+            wanted = sources.select(F.col("id").alias("label")).distinct()
+            ids = number_labels(ids.join(wanted, "label", "left_semi").select("label"))
+        bit = F.expr("shiftleft(cast(1 as bigint), cast(id % 64 as int))")
+        frontier = seen = cut_lineage(
+            ids.select(F.col("label").alias("node"), F.floor(F.col("id") / 64).alias("block"), bit.alias("mask"))
+            .groupBy("node", "block").agg(F.bit_or("mask").alias("mask"))
         )
-        state = cut_lineage(state)
-        frontier = state.where("new <> 0").select("node", "block", F.col("new").alias("mask"))
-        n = frontier.agg(F.sum(F.bit_count("mask")).alias("n")).first()["n"]
-        if not n:
-            break
-        row = graph.edges.sparkSession.range(1).select(F.lit(distance).alias("distance"), F.lit(n).cast("bigint").alias("n"))
-        counts = row if counts is None else counts.unionByName(row)
-        seen = state.select("node", "block", F.col("mask").bitwiseOR(F.col("new")).alias("mask"))
-    if counts is None:
-        return graph.edges.sparkSession.createDataFrame([], "distance int, n bigint")
-    return counts
+        counts, distance = None, 0
+        while True:
+            distance += 1
+            reached = graph.follow(frontier, "node").groupBy(F.col("dst").alias("node"), "block").agg(F.bit_or("mask").alias("_m"))
+            state = reached.join(seen, ["node", "block"], "full").select(
+                "node", "block", F.coalesce("mask", F.lit(0)).alias("mask"),
+                F.coalesce("_m", F.lit(0)).bitwiseAND(F.bitwise_not(F.coalesce("mask", F.lit(0)))).alias("new"),
+            )
+            state = cut_lineage(state)
+            frontier = state.where("new <> 0").select("node", "block", F.col("new").alias("mask"))
+            n = frontier.agg(F.sum(F.bit_count("mask")).alias("n")).first()["n"]
+            if not n:
+                break
+            row = graph.edges.sparkSession.range(1).select(F.lit(distance).alias("distance"), F.lit(n).cast("bigint").alias("n"))
+            counts = row if counts is None else counts.unionByName(row)
+            seen = state.select("node", "block", F.col("mask").bitwiseOR(F.col("new")).alias("mask"))
+        if counts is None:
+            return graph.edges.sparkSession.createDataFrame([], "distance int, n bigint")
+        return counts
 
 
 # -- ranks -------------------------------------------------------------------------------------
@@ -197,21 +210,21 @@ def distance_histogram(edges: DataFrame, sources: DataFrame | None = None) -> Da
 
 def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 10) -> DataFrame:
     """Rank of every vertex after a fixed number of rounds; dead ends share their rank with all."""
-    graph = spread(edges)
-    out = graph.edges.groupBy("src").agg(F.count("*").alias("out"))
-    all_vertices = vertices(graph.edges)
-    ranks = cut_lineage(
-        all_vertices.join(out.withColumnRenamed("src", "id"), "id", "left").select("id", F.coalesce("out", F.lit(0)).alias("out"))
-    )
-    n = ranks.count()
-    ranks = ranks.withColumn("rank", F.lit(1.0 / n) if n else F.lit(None).cast("double"))
-    for _ in range(rounds):
-        sent = ranks.where("out > 0").select("id", (F.col("rank") / F.col("out")).alias("_c"))
-        got = graph.follow(sent, "id").groupBy(F.col("dst").alias("id")).agg(F.sum("_c").alias("_s"))
-        lost = F.coalesce(ranks.where("out = 0").agg(F.sum("rank")).scalar(), F.lit(0.0))
-        new = (F.coalesce(F.col("_s"), F.lit(0.0)) + lost / n) * damping + (1 - damping) / n
-        ranks = cut_lineage(ranks.join(got, "id", "left").select("id", "out", new.alias("rank")))
-    return ranks.select("id", "rank")
+    with spread(edges) as graph:
+        out = graph.edges.groupBy("src").agg(F.count("*").alias("out"))
+        all_vertices = vertices(graph.edges)
+        ranks = cut_lineage(
+            all_vertices.join(out.withColumnRenamed("src", "id"), "id", "left").select("id", F.coalesce("out", F.lit(0)).alias("out"))
+        )
+        n = ranks.count()
+        ranks = ranks.withColumn("rank", F.lit(1.0 / n) if n else F.lit(None).cast("double"))
+        for _ in range(rounds):
+            sent = ranks.where("out > 0").select("id", (F.col("rank") / F.col("out")).alias("_c"))
+            got = graph.follow(sent, "id").groupBy(F.col("dst").alias("id")).agg(F.sum("_c").alias("_s"))
+            lost = F.coalesce(ranks.where("out = 0").agg(F.sum("rank")).scalar(), F.lit(0.0))
+            new = (F.coalesce(F.col("_s"), F.lit(0.0)) + lost / n) * damping + (1 - damping) / n
+            ranks = cut_lineage(ranks.join(got, "id", "left").select("id", "out", new.alias("rank")))
+        return ranks.select("id", "rank")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -222,10 +235,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
 
     def star(pairs: DataFrame, emit) -> DataFrame:
-        least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
-        total = pairs.agg(F.count("*")).scalar()
-        hubs = least.where(F.col("_n") >= total * 0.01).select("u")
-        return emit(salted_join(pairs, least.select("u", F.least("u", "m").alias("m")), ["u"], ["v"], hot=hubs))
+        least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+        return emit(salted_join(pairs, least.select("u", F.least("u", "m").alias("m")), ["u"], ["v"]))
 
     def large(pairs: DataFrame) -> DataFrame:
         ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -271,48 +282,48 @@ def betweenness(edges: DataFrame, pivots: int | None = None, seed: int = 1) -> t
     Shortest paths are counted from all vertices, or from ``pivots`` hash-chosen ones with the
     result scaled up. Forward rounds carry path counts, backward rounds carry dependencies.
     """
-    graph = spread(both_ways(edges))
-    nodes = cut_lineage(vertices(graph.edges))
-    n = nodes.count()
-    sources = nodes if pivots is None or pivots >= n else nodes.orderBy(seeded_hash(seed, "id"), "id").limit(pivots)
-    scale = 1.0 if pivots is None or pivots >= n else n / pivots
-    level = cut_lineage(sources.select(F.col("id").alias("s"), F.col("id").alias("node"), F.lit(1.0).alias("paths")))
-    levels, seen = [level], level.select("s", "node")
-    while True:
-        reached = graph.follow(level, "node").groupBy("s", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
-        # on an undirected graph a new vertex can only have been seen one or two rounds ago
-        level = cut_lineage(reached.join(seen, ["s", "node"], "left_anti"))
-        if level.isEmpty():
-            break
-        levels.append(level)
-        seen = levels[-2].select("s", "node").unionByName(level.select("s", "node"))
-
-    lower = levels[-1].withColumn("dep", F.lit(0.0))
-    vertex_parts, edge_parts = [lower.select("node", "dep")], []
-    for upper in reversed(levels[:-1]):
-        back = graph.follow(lower, "node").select(
-            "s", F.col("src").alias("w"), F.col("dst").alias("node"), (F.lit(1.0) + F.col("dep")).alias("gain"), F.col("paths").alias("below")
-        )
-        shares = cut_lineage(
-            back.join(upper, ["s", "node"]).select("s", "node", "w", "paths", (F.col("paths") / F.col("below") * F.col("gain")).alias("c"))
-        )
-        edge_parts.append(shares.select(F.least("node", "w").alias("a"), F.greatest("node", "w").alias("b"), "c"))
-        gained = shares.groupBy("s", "node").agg(F.sum("c").alias("dep"))
-        lower = cut_lineage(upper.join(gained, ["s", "node"], "left").withColumn("dep", F.coalesce("dep", F.lit(0.0))))
-        vertex_parts.append(lower.where(F.col("s") != F.col("node")).select("node", "dep"))
-
-    def union(parts: list[DataFrame]) -> DataFrame:
-        result = parts[0]
-        for p in parts[1:]:
-            result = result.unionByName(p)
-        return result
-
-    def scaled(value: Column, pairs: float) -> Column:
-        return ratio(value * scale / 2.0, F.lit(float(pairs)))
-
-    by_vertex = union(vertex_parts).groupBy(F.col("node").alias("id")).agg(F.sum("dep").alias("_d"))
-    scores = nodes.join(by_vertex, "id", "left").select("id", scaled(F.coalesce("_d", F.lit(0.0)), (n - 1) * (n - 2) / 2).alias("score"))
-    if not edge_parts:
-        return scores, simple_undirected(graph.edges).withColumn("score", F.lit(0.0))
-    by_edge = union(edge_parts).groupBy("a", "b").agg(F.sum("c").alias("_c"))
-    return scores, by_edge.select("a", "b", scaled(F.col("_c"), n * (n - 1) / 2).alias("score"))
+    with spread(both_ways(edges)) as graph:
+        nodes = cut_lineage(vertices(graph.edges))
+        n = nodes.count()
+        sources = nodes if pivots is None or pivots >= n else nodes.orderBy(seeded_hash(seed, "id"), "id").limit(pivots)
+        scale = 1.0 if pivots is None or pivots >= n else n / pivots
+        level = cut_lineage(sources.select(F.col("id").alias("s"), F.col("id").alias("node"), F.lit(1.0).alias("paths")))
+        levels, seen = [level], level.select("s", "node")
+        while True:
+            reached = graph.follow(level, "node").groupBy("s", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
+            # on an undirected graph a new vertex can only have been seen one or two rounds ago
+            level = cut_lineage(reached.join(seen, ["s", "node"], "left_anti"))
+            if level.isEmpty():
+                break
+            levels.append(level)
+            seen = levels[-2].select("s", "node").unionByName(level.select("s", "node"))
+
+        lower = levels[-1].withColumn("dep", F.lit(0.0))
+        vertex_parts, edge_parts = [lower.select("node", "dep")], []
+        for upper in reversed(levels[:-1]):
+            back = graph.follow(lower, "node").select(
+                "s", F.col("src").alias("w"), F.col("dst").alias("node"), (F.lit(1.0) + F.col("dep")).alias("gain"), F.col("paths").alias("below")
+            )
+            shares = cut_lineage(
+                back.join(upper, ["s", "node"]).select("s", "node", "w", "paths", (F.col("paths") / F.col("below") * F.col("gain")).alias("c"))
+            )
+            edge_parts.append(shares.select(F.least("node", "w").alias("a"), F.greatest("node", "w").alias("b"), "c"))
+            gained = shares.groupBy("s", "node").agg(F.sum("c").alias("dep"))
+            lower = cut_lineage(upper.join(gained, ["s", "node"], "left").withColumn("dep", F.coalesce("dep", F.lit(0.0))))
+            vertex_parts.append(lower.where(F.col("s") != F.col("node")).select("node", "dep"))
+
+        def union(parts: list[DataFrame]) -> DataFrame:
+            result = parts[0]
+            for p in parts[1:]:
+                result = result.unionByName(p)
+            return result
+
+        def scaled(value: Column, pairs: float) -> Column:
+            return ratio(value * scale / 2.0, F.lit(float(pairs)))
+
+        by_vertex = union(vertex_parts).groupBy(F.col("node").alias("id")).agg(F.sum("dep").alias("_d"))
+        scores = nodes.join(by_vertex, "id", "left").select("id", scaled(F.coalesce("_d", F.lit(0.0)), (n - 1) * (n - 2) / 2).alias("score"))
+        if not edge_parts:
+            return scores, simple_undirected(graph.edges).withColumn("score", F.lit(0.0))
+        by_edge = union(edge_parts).groupBy("a", "b").agg(F.sum("c").alias("_c"))
+        return scores, by_edge.select("a", "b", scaled(F.col("_c"), n * (n - 1) / 2).alias("score"))

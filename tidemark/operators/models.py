@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.colour import WORD_RGB, lab_to_rgb, rgb_to_lab
+from ..session import cut_lineage
 from ..sources.readers import grid
 from .features import cluster_size_score, one_hot, standardise
 from .resample import hash_folds
@@ -130,5 +131,6 @@ def detect(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], id:
     encoded = standardise(one_hot(df.select(id, *categories, *numbers), categories, id), numbers)
     inputs = [c for c in encoded.columns if c != id]
     vectors = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip").transform(encoded).select(id, "features")
-    labelled = KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(id, F.col("prediction").alias("cluster"))
+    vectors = cut_lineage(vectors)  # read once per iteration
+    labelled = cut_lineage(KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(id, F.col("prediction").alias("cluster")))
     return cluster_size_score(labelled, "cluster").where(F.col("score") >= threshold).select(id, "score")

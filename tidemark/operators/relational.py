@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.numeric import ratio
-from .skew import broadcast_if_small, salted_join
+from ..session import cut_lineage
+from .skew import broadcast_if_small, salted_join, widen
 
 # Weather observation kinds and the page titles that do not count.
 TMAX, TMIN = "TMAX", "TMIN"
@@ -47,7 +48,7 @@ def parse_json(df: DataFrame, column: str, schema: str, keep: Sequence[str]) ->
 
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
     """Occurrences of every lower-case word, sorted by word."""
-    each = lines.select(F.explode(text.words(value)).alias("word")).where(F.col("word") != "")
+    each = widen(lines.select(value)).select(F.explode(text.words(value)).alias("word")).where(F.col("word") != "")
     return each.groupBy("word").agg(F.count("*").alias("n")).orderBy("word")
 
 
@@ -122,7 +123,7 @@ def argmax_ties(df: DataFrame, keys: Sequence[str], value: str, broadcast: bool
     keys = list(keys)
     best = df.groupBy(*keys).agg(F.max(value).alias(value))
     if broadcast:
-        best = broadcast_if_small(best)
+        best = broadcast_if_small(cut_lineage(best))
     return df.join(best, [*keys, value])
 
 
@@ -160,9 +161,9 @@ def relative_scores(comments: DataFrame, broadcast: bool = False) -> DataFrame:
     averages = group_avg(comments, "subreddit", "score", "_avg").where(F.col("_avg") > 0)
     best = comments.groupBy("subreddit", "author").agg(F.max("score").alias("score"))
     if broadcast:
-        joined = best.join(broadcast_if_small(averages), "subreddit")
+        joined = best.join(broadcast_if_small(cut_lineage(averages)), "subreddit")
     else:
-        joined = salted_join(best, averages, ["subreddit"], ["author"])
+        joined = salted_join(cut_lineage(best), averages, ["subreddit"], ["author"])
     scores = joined.select("author", (F.col("score") / F.col("_avg")).alias("_r"))
     return scores.groupBy("author").agg(F.max("_r").alias("max_rel_score"))
 

@@ -8,23 +8,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+SALTS = 32
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after the row count is seen to be at most ``max_rows``.
 
-    Beyond the bound the plain frame is returned, so the join shuffles instead.
+    Beyond the bound the plain frame is returned, so the join shuffles instead. The count stops
+    early, but ``df`` should be a stored table or a checkpoint, not a long computation.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys holding at least ``share`` of the rows: at most ``1/share`` rows come back."""
-    total = df.agg(F.count("*")).scalar()
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return counts.where(F.col("_n") >= total * F.lit(share)).select(*keys)
+def widen(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer partitions than the cluster has slots before heavy row work."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
+    """Hashes of all keys that hold at least ``share`` of the rows, at most ``1/share`` numbers.
+
+    One pass with a fixed-size summary and no shuffle. Rarer keys may be among them, which
+    only costs a few extra copies in a join.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("h"))
+    return sorted(hashed.stat.freqItems(["h"], share).first()[0] or [])
+
+
+def salt_of(keys: Sequence[str], hot: list[int], spread: Sequence[str | Column], salts: int = SALTS) -> Column:
+    """Salt of a row on the large side: a hash of ``spread`` for hot keys, else 0."""
+    zero = F.lit(0).cast("bigint")
+    if not hot:
+        return zero
+    return F.when(F.xxhash64(*keys).isin(hot), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(zero)
+
+
+def all_salts(keys: Sequence[str], hot: list[int], salts: int = SALTS) -> Column:
+    """Array of the salts a row on the small side is needed under."""
+    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
+    if not hot:
+        return F.array(zero)
+    return F.when(F.xxhash64(*keys).isin(hot), F.sequence(zero, last)).otherwise(F.array(zero))
 
 
 def salted_join(
@@ -33,23 +60,21 @@ def salted_join(
     on: Sequence[str],
     spread: Sequence[str | Column],
     how: str = "inner",
-    salts: int = 32,
+    salts: int = SALTS,
     share: float = 0.01,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that spreads the hot keys of ``big`` over ``salts`` tasks.
 
     Rows of ``big`` with a hot key get a salt from a hash of ``spread``; matching rows of
-    ``small`` are repeated once per salt. The hot key list has at most ``1/share`` rows, which
-    is what makes it safe to broadcast; a caller that already knows it passes ``hot``.
-    Supports inner, left, left_semi and left_anti.
+    ``small`` are repeated once per salt. ``big`` is read twice, so it should be a stored table
+    or a checkpoint. Supports inner, left, left_semi and left_anti.
     """
     on = list(on)
-    hot = hot_keys(big, on, share) if hot is None else hot
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
-    left = big.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
-    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
-    copies = F.when(F.col("_hot"), F.sequence(zero, last)).otherwise(F.array(zero))
-    right = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    hot = hot_hashes(big, on, share)
+    if not hot:
+        return big.join(small, on, how)
+    kinds = dict(big.dtypes)
+    same = small.withColumns({k: F.col(k).cast(kinds[k]) for k in on})
+    left = big.withColumn("_salt", salt_of(on, hot, spread, salts))
+    right = same.withColumn("_salt", F.explode(all_salts(on, hot, salts)))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -142,11 +142,19 @@ WHOLE = [c for c in DEEP_NUMBERS if c.startswith(("count_", "n_unique_"))]
 REAL = [c for c in DEEP_NUMBERS if c not in WHOLE]
 
 
+def digits(column: str) -> int:
+    """Money sums are large and carry few exact decimals; skewness is near one.
+
+    Both sides are scaled by 1 + 1e-9 first, so that exact halves round the same way.
+    """
+    return 7 if column.startswith("skew_") else 4
+
+
 @query("deep_features", DEEP_HEAD + "select c_custkey, label, " + ", ".join(
-    [f"round({c}, 4)::double + 0.0 as {c}" for c in REAL] + WHOLE + DEEP_LABELS) + " from deep")
+    [f"round({c} * (1 + 1e-9::double), {digits(c)})::double + 0.0 as {c}" for c in REAL] + WHOLE + DEEP_LABELS) + " from deep")
 def deep_features(t: Tables) -> DataFrame:
     found = features.synthesise(retail(t), "users")
-    return found.select("c_custkey", "label", *[rounded(F.col(c).cast("double"), 4).alias(c) for c in REAL], *WHOLE, *DEEP_LABELS)
+    return found.select("c_custkey", "label", *[rounded(F.col(c).cast("double") * (1 + 1e-9), digits(c)).alias(c) for c in REAL], *WHOLE, *DEEP_LABELS)
 
 
 @query("select_features", DEEP_HEAD + "select feature, round(r, 6) as r from (" + " union all ".join(

@@ -75,7 +75,7 @@ def token_sets(t: Tables) -> DataFrame:
                    sum(n_pairs) filter (jaccard >= 0.8)::double / nullif(sum(n_pairs), 0) as r from links)
     select round(p, 6) as precision, round(r, 6) as recall, round(2 * p * r / nullif(p + r, 0), 6) as fmeasure from q""")
 def match_quality(t: Tables) -> DataFrame:
-    truth = links(t, 0.5)
+    truth = cut_lineage(links(t, 0.5))
     quality = evaluate_pairs(truth.where(F.col("jaccard") >= 0.8), truth, weight="n_pairs")
     return quality.select(*[rounded(F.col(c)).alias(c) for c in ("precision", "recall", "fmeasure")])
 
