@@ -59,4 +59,5 @@ def equal_bin(value: str | Column, lo: Column, hi: Column, bins: int) -> Column:
     """
     width = (hi - lo) / F.lit(bins)
     inside = F.floor((col(value) - lo) / F.nullif(width, F.lit(0.0))).cast("int") + 1
-    return F.coalesce(F.least(F.lit(bins), inside), F.when(col(value).isNotNull(), F.lit(1)))
+    # least() would skip a null, so missing values and a width of zero are told apart first
+    return F.when(col(value).isNull(), F.lit(None)).when(width > 0, F.least(F.lit(bins), inside)).otherwise(F.lit(1))

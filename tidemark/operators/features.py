@@ -130,27 +130,27 @@ def _group_numbers(df: DataFrame, key: str, columns: Sequence[str], child: str,
     plain = [build[a](c).alias(f"{a}_{child}_{c}") for c in columns for a in aggs if a in build]
     result = df.groupBy(key).agg(F.count("*").alias(f"count_{child}"), *plain)
     if "median" in aggs and columns:
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+        cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns])
         long = df.select(key, F.explode(cells).alias("_c")).select(key, "_c.*")
-        medians = exact_quantiles(long, [key, "column"], "value", {"median": 0.5})
-        wide = medians.groupBy(key).agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"median_{child}_{c}") for c in columns])
+        medians = exact_quantiles(long, [key, "_column"], "_value", {"_median": 0.5})
+        wide = medians.groupBy(key).agg(*[F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"median_{child}_{c}") for c in columns])
         result = result.join(wide, key, "left")
     return result
 
 
 def _group_categories(df: DataFrame, key: str, columns: Sequence[str], child: str, aggs: Sequence[str]) -> DataFrame:
     """Mode (ties to the smallest value) and number of values, from counts per value."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    long = df.select(key, F.explode(cells).alias("_c")).select(key, "_c.*").where(F.col("value").isNotNull())
-    counts = long.groupBy(key, "column", "value").agg(F.count("*").alias("n"))
-    best = counts.groupBy(key, "column").agg(F.min(F.struct(-F.col("n"), "value")).alias("b"), F.count("*").alias("u"))
+    cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns])
+    long = df.select(key, F.explode(cells).alias("_c")).select(key, "_c.*").where(F.col("_value").isNotNull())
+    counts = long.groupBy(key, "_column", "_value").agg(F.count("*").alias("_n"))
+    best = counts.groupBy(key, "_column").agg(F.min(F.struct(-F.col("_n"), "_value")).alias("_best"), F.count("*").alias("_kinds"))
     picks = []
     for c in columns:
-        here = F.col("column") == c
+        here = F.col("_column") == c
         if "mode" in aggs:
-            picks.append(F.max(F.when(here, F.col("b.value"))).alias(f"mode_{child}_{c}"))
+            picks.append(F.max(F.when(here, F.col("_best._value"))).alias(f"mode_{child}_{c}"))
         if "n_unique" in aggs:
-            picks.append(F.coalesce(F.max(F.when(here, F.col("u"))), F.lit(0)).alias(f"n_unique_{child}_{c}"))
+            picks.append(F.coalesce(F.max(F.when(here, F.col("_kinds"))), F.lit(0)).alias(f"n_unique_{child}_{c}"))
     return best.groupBy(key).agg(*picks)
 
 

@@ -264,7 +264,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def largest_component(edges: DataFrame) -> DataFrame:
     """Edges of the component with most vertices; the smallest label wins a tie."""
     labels = cut_lineage(connected_components(edges))
-    best = labels.groupBy("component").agg(F.count("*").alias("n")).agg(F.max_by("component", F.struct("n", -F.col("component")))).scalar()
+    sizes = labels.groupBy("component").agg(F.count("*").alias("n"))
+    best = sizes.agg(F.min(F.struct(-F.col("n"), "component"))).scalar()["component"]
     return filter_vertices(edges, labels.where(F.col("component") == best))
 
 
