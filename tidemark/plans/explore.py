@@ -109,7 +109,7 @@ def price_percentiles(t: Tables) -> DataFrame:
     return six(percentiles(t), "p25", "p50", "p75")
 
 
-@query("price_median", "select 'current' as column, median(current) as median from properties", ("properties",))
+@query("price_median", "select 'current' as column, round(median(current), 6) as median from properties", ("properties",))
 def price_median(t: Tables) -> DataFrame:
     return six(profile.median(si.properties(t), ["current"]), "median")
 
