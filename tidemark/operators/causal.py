@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import product
 
@@ -11,13 +10,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import euclidean, ratio
 from ..session import cut_lineage
+from .skew import salted_join
 
-GROWTH = 4.0  # each search round looks this many times farther
+FAN, LEAF, MAX_DEPTH = 4, 32, 16  # cells per axis in a larger cell, points per smallest cell, nested grids
 
 
 def _effect(matched: DataFrame, controls: DataFrame) -> DataFrame:
@@ -47,53 +47,88 @@ def exact_match_effect(df: DataFrame, treat: str, outcome: str, covariates: Sequ
     return _effect(matched, df.where(F.col(treat) == 0))
 
 
+def _cell(coord: str, size: float) -> Column:
+    return F.floor(F.col(coord).cast("double") / F.lit(size)).cast("bigint")
+
+
+def _keys(axes: Sequence[str]) -> list[str]:
+    return [f"_k{i}" for i in range(len(axes))] or ["_k"]
+
+
+def _in_cells(points: DataFrame, axes: Sequence[str], size: float) -> DataFrame:
+    """Points with their cell at a cell size; a single cell when no axis varies."""
+    cells = {f"_k{i}": _cell(c, size) for i, c in enumerate(axes)} or {"_k": F.lit(0).cast("bigint")}
+    return points.withColumns(cells)
+
+
+def _boxes(parts: DataFrame, keys: Sequence[str], coords: Sequence[str], lo: str, hi: str) -> DataFrame:
+    """Bounding box of the points (or smaller boxes) in each cell."""
+    ends = [F.min(F.col(lo + c)).alias(f"_lo_{c}") for c in coords] + [F.max(F.col(hi + c)).alias(f"_hi_{c}") for c in coords]
+    return parts.groupBy(*keys).agg(*ends)
+
+
+def _prune(pairs: DataFrame, coords: Sequence[str], radius: float) -> DataFrame:
+    """Keep the boxes that can hold the nearest point of their left point.
+
+    Some point of a box is no farther than the box's far corner, so boxes that begin beyond the
+    least far corner, or beyond the radius, are out.
+    """
+    zero = F.lit(0.0)
+    near, far = zero, zero
+    for c in coords:
+        below, above = F.col(f"_lo_{c}") - F.col(c), F.col(c) - F.col(f"_hi_{c}")
+        gap = F.greatest(below, above, zero)
+        reach = F.greatest(F.abs(below), F.abs(above))
+        near, far = near + gap * gap, far + reach * reach
+    slack = 1 + 1e-9
+    bound = F.min(far).over(Window.partitionBy(*coords))  # few boxes per point
+    kept = pairs.withColumn("_near", near).withColumn("_bound", bound).where(
+        (F.col("_near") <= F.col("_bound") * slack) & (F.col("_near") <= radius * radius * slack)
+    )
+    return kept.drop("_near", "_bound", *[f"_{e}_{c}" for e in ("lo", "hi") for c in coords])
+
+
 def nearest_within(left: DataFrame, right: DataFrame, coords: Sequence[str], radius: float, strict: bool) -> DataFrame:
     """For each left point the nearest right point within a radius; ties take the smallest id.
 
     ``left`` and ``right`` hold distinct points, ``right`` with a struct ``m`` that starts with the
-    id. The search starts with cells sized for about one right point each and grows: a point
-    found within the cell size is the nearest one, because everything that close lies in the
-    adjoining cells. Only unresolved points go on, so dense regions never pair everything with
-    everything, and no pair within the radius is missed.
+    id. Right points are summarised as boxes in nested grids, from cells of the radius down to
+    cells of at most ``LEAF`` points. Left points descend the grids and follow only boxes that can
+    still hold their nearest point, so crowded regions on either side never meet pair by pair,
+    and no pair is missed. Cells many left points go through are spread by ``salted_join``.
     """
     coords = list(coords)
-    ends = right.agg(
-        F.count("*").alias("n"), *[(F.max(c) - F.min(c)).cast("double").alias(c) for c in coords]
-    ).first()
-    if not ends["n"]:
-        return left.withColumn("m", F.lit(None)).withColumn("distance", F.lit(None).cast("double")).limit(0)
-    wide = [c for c in coords if (ends[c] or 0.0) > 0.0]
-    spacing = math.prod(ends[c] for c in wide) ** (1 / len(wide)) / ends["n"] ** (1 / len(wide)) if wide else radius
-    size, rounds = radius, 0
-    while size > spacing and rounds < 20:
-        size, rounds = size / GROWTH, rounds + 1
-
-    # only columns wider than a cell tell points apart; at most three of them shape the cells
-    open_points, found = left, None
-    for step in range(rounds + 1):
-        cell = radius / GROWTH ** (rounds - step)
-        axes = sorted((c for c in wide if ends[c] > cell), key=lambda c: -ends[c])[:3]
-        place = lambda c: F.floor(F.col(c).cast("double") / F.lit(cell * (1 + 1e-9)))
-        offsets = F.array(*[F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(d)], F.lit(0).alias("z")) for d in product((-1, 0, 1), repeat=len(axes))])
-        probes = open_points.withColumn("_o", F.explode(offsets)).withColumns(
-            {f"_k{i}": place(c) + F.col(f"_o.o{i}") for i, c in enumerate(axes)} | {"_k": F.lit(0)}
-        ).drop("_o")
-        targets = right.withColumns({f"_k{i}": place(c) for i, c in enumerate(axes)} | {"_k": F.lit(0)}).withColumnsRenamed(
-            {c: f"_r_{c}" for c in coords}
-        )
-        met = probes.join(targets, [f"_k{i}" for i in range(len(axes))] + ["_k"]).withColumn(
-            "distance", euclidean(coords, [f"_r_{c}" for c in coords])
-        )
-        last = step == rounds
-        near = F.col("distance") < cell if (last and strict) else F.col("distance") <= cell
-        best = cut_lineage(
-            met.where(near).groupBy(*coords).agg(F.min(F.struct("distance", "m")).alias("_b"))
-            .select(*coords, F.col("_b.m").alias("m"), F.col("_b.distance").alias("distance"))
-        )
-        found = best if found is None else found.unionByName(best)
-        if not last:
-            open_points = cut_lineage(open_points.join(best.select(*coords), coords, "left_anti"))
-    return left.join(found, coords)
+    ends = right.agg(F.count("*").alias("n"), *[(F.max(c) - F.min(c)).cast("double").alias(c) for c in coords]).first()
+    wide = sorted((c for c in coords if (ends[c] or 0.0) > 0.0), key=lambda c: -ends[c])
+    axes = wide[:3]  # the widest columns shape the cells; boxes bound all columns
+    keys, top = _keys(axes), radius * (1 + 1e-9)
+    depth = 0
+    while depth < MAX_DEPTH and axes:
+        counts = _in_cells(right, axes, top / FAN**depth).groupBy(*keys).agg(F.count("*").alias("_n"))
+        if (counts.agg(F.max("_n")).first()[0] or 0) <= LEAF:
+            break
+        depth += 1
+
+    leaves = cut_lineage(_in_cells(right, axes, top / FAN**depth))
+    levels = [cut_lineage(_boxes(leaves, keys, coords, "", ""))]
+    for _ in range(depth):
+        parents = levels[-1].withColumns({k: F.floor(F.col(k) / FAN).cast("bigint") for k in keys})
+        levels.append(cut_lineage(_boxes(parents, keys, coords, "_lo_", "_hi_")))
+
+    points = left.select(*[F.col(c).cast("double").alias(c) for c in coords]).distinct()
+    shifts = F.array(*[F.struct(*[F.lit(o).alias(k) for k, o in zip(keys, d)]) for d in product((-1, 0, 1), repeat=len(axes))] or [F.struct(F.lit(0).alias("_k"))])
+    around = _in_cells(points, axes, top).withColumn("_s", F.explode(shifts)).withColumns({k: F.col(k) + F.col(f"_s.{k}") for k in keys}).drop("_s")
+    open_pairs = cut_lineage(_prune(around.join(levels[-1], keys), coords, radius))
+    for boxes in reversed(levels[:-1]):
+        children = boxes.withColumns({f"_c{k}": F.col(k) for k in keys}).withColumns({k: F.floor(F.col(k) / FAN).cast("bigint") for k in keys})
+        down = salted_join(open_pairs, children, keys, coords).drop(*keys).withColumnsRenamed({f"_c{k}": k for k in keys})
+        open_pairs = cut_lineage(_prune(down, coords, radius))
+
+    targets = leaves.withColumnsRenamed({c: f"_r_{c}" for c in coords})
+    met = salted_join(open_pairs, targets, keys, coords).withColumn("distance", euclidean(coords, [f"_r_{c}" for c in coords]))
+    near = F.col("distance") < radius if strict else F.col("distance") <= radius
+    best = met.where(near).groupBy(*coords).agg(F.min(F.struct("distance", "m")).alias("_b"))
+    return left.join(best.select(*coords, F.col("_b.m").alias("m"), F.col("_b.distance").alias("distance")), coords)
 
 
 def nearest_match_effect(

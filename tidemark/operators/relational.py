@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.numeric import ratio
 from ..session import cut_lineage
-from .skew import broadcast_if_small, salted_join, widen
+from .skew import broadcast_if_small, salted_join
 
 # Weather observation kinds and the page titles that do not count.
 TMAX, TMIN = "TMAX", "TMIN"
@@ -48,7 +48,7 @@ def parse_json(df: DataFrame, column: str, schema: str, keep: Sequence[str]) ->
 
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
     """Occurrences of every lower-case word, sorted by word."""
-    each = widen(lines.select(value)).select(F.explode(text.words(value)).alias("word")).where(F.col("word") != "")
+    each = lines.select(F.explode(text.words(value)).alias("word")).where(F.col("word") != "")
     return each.groupBy("word").agg(F.count("*").alias("n")).orderBy("word")
 
 
@@ -194,8 +194,22 @@ def temp_ranges(observations: DataFrame) -> DataFrame:
 
 
 def largest_range(observations: DataFrame, broadcast: bool = False) -> DataFrame:
-    """Per day the stations with the largest range, ties kept."""
-    best = argmax_ties(temp_ranges(observations), ["date"], "_range", broadcast)
+    """Per day the stations with the largest range, ties kept.
+
+    Gives the rows of the largest ``temp_ranges`` without pairing repeated readings: a station's
+    largest range is its highest minus its lowest reading, once per repeat of either.
+    """
+    good = observations.where(F.col("qflag").isNull() & F.col("observation").isin(TMAX, TMIN) & F.col("value").isNotNull())
+    counts = good.groupBy("station", "date", "observation", "value").agg(F.count("*").alias("_n"))
+    reading = F.struct("value", "_n")
+    ends = counts.groupBy("station", "date").agg(
+        F.max(F.when(F.col("observation") == TMAX, reading)).alias("_hi"), F.min(F.when(F.col("observation") == TMIN, reading)).alias("_lo")
+    ).where("_hi is not null and _lo is not null")
+    ranges = ends.select(
+        "date", "station", (F.col("_hi.value") - F.col("_lo.value")).alias("_range"), (F.col("_hi._n") * F.col("_lo._n")).alias("_n")
+    )
+    best = argmax_ties(ranges, ["date"], "_range", broadcast)
+    best = best.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
     return best.select("date", "station", F.round(F.col("_range") / 10.0, 2).alias("range")).orderBy("date", "station")
 
 

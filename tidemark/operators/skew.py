@@ -23,7 +23,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def widen(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer partitions than the cluster has slots before heavy row work."""
+    """Spread a stored table of fewer splits than the cluster has slots before heavy row work.
+
+    For plain scans only: counting the partitions of anything else would run it.
+    """
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import rounded
 from ..operators import relational as rel
+from ..operators.skew import widen
 from . import standins as si
 from .registry import query
 from .tables import Tables
@@ -42,7 +43,7 @@ def orders_denorm(t: Tables) -> DataFrame:
     from (select unnest(regexp_split_to_array(lower(text), '[!-/:-@\[-`{-~\s]+')) as word from documents)
     where word <> '' group by word""")
 def word_count(t: Tables) -> DataFrame:
-    return rel.word_count(t.documents, "text")
+    return rel.word_count(widen(t.documents.select("text")), "text")
 
 
 @query("parse_logs", "select host, datetime, path, bytes from access_log", ("access_log",))

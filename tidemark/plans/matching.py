@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import rounded
 from ..operators import causal, entity, simjoin
 from ..operators.relational import evaluate_pairs
+from ..operators.skew import widen
 from ..session import cut_lineage
 from ..sources.readers import read_stream
 from ..streaming import regression
@@ -38,7 +39,7 @@ def links_sql(threshold: float) -> str:
 
 
 def links(t: Tables, threshold: float) -> DataFrame:
-    return simjoin.jaccard_self_join(t.documents, "doc_id", ["text"], threshold)
+    return simjoin.jaccard_self_join(widen(t.documents.select("doc_id", "text")), "doc_id", ["text"], threshold)
 
 
 @query("jaccard_self", links_sql(0.8) + "select id1, id2, round(jaccard, 6) as jaccard, n_pairs from links")
@@ -56,7 +57,7 @@ def jaccard_self(t: Tables) -> DataFrame:
     select id1, id2, round(i / (n1 + n2 - i)::double, 6) as jaccard, n_pairs from shared
     where i / (n1 + n2 - i)::double >= 0.3""")
 def jaccard_join(t: Tables) -> DataFrame:
-    found = simjoin.jaccard_join(t.documents, t.benchmark, "doc_id", "item_id", ["text"], ["text"], 0.3)
+    found = simjoin.jaccard_join(widen(t.documents.select("doc_id", "text")), t.benchmark, "doc_id", "item_id", ["text"], ["text"], 0.3)
     return found.withColumn("jaccard", rounded(F.col("jaccard")))
 
 

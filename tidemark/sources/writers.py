@@ -21,14 +21,13 @@ def write_json(df: DataFrame, path: str, compression: str = "gzip") -> None:
 
 
 def split_write(df: DataFrame, predicate: Column, path_true: str, path_false: str) -> None:
-    """Rows that satisfy the predicate to one folder, all others (null included) to another."""
+    """Rows that satisfy the predicate to one folder, all others (null included) to another.
+
+    Two filtered scans: caching the input would cost more than reading it twice.
+    """
     flag = F.coalesce(predicate, F.lit(False))
-    kept = df.persist()
-    try:
-        kept.where(flag).write.mode("overwrite").json(path_true)
-        kept.where(~flag).write.mode("overwrite").json(path_false)
-    finally:
-        kept.unpersist()
+    df.where(flag).write.mode("overwrite").json(path_true)
+    df.where(~flag).write.mode("overwrite").json(path_false)
 
 
 def write_table(df: DataFrame, fmt: str, partitions: int, path: str | None = None, **options: str) -> None:
