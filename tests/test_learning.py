@@ -50,7 +50,9 @@ def test_otsu_splits_two_heaps(spark):
     assert 9 < row["threshold"] < 100 and row["n_above"] == 250
 
 
-def test_synthesise_depth_two(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_synthesise_depth_two(spark, monkeypatch, small):
+    monkeypatch.setattr(features, "SMALL_GROUP", small)
     users = spark.createDataFrame([(1,), (2,)], "u int")
     orders = spark.createDataFrame([(10, 1, "a"), (11, 1, "b"), (12, 1, "b")], "o int, u int, kind string")
     lines = spark.createDataFrame([(10, 2.0), (10, 4.0), (11, 3.0)], "o int, q double")

@@ -23,9 +23,10 @@ def skewed(spark):
     return frame, df.withColumn("v", F.nanvl("v", F.lit(None))).persist()
 
 
-def test_group_quantiles(skewed):
+@pytest.mark.parametrize("size", [0, 10_000])
+def test_group_quantiles(skewed, size):
     frame, df = skewed
-    got = {r["k"]: (r["a"], r["b"]) for r in ranks.exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.9}, bins=7).collect()}
+    got = {r["k"]: (r["a"], r["b"]) for r in ranks.exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.9}, bins=7, small_group=size).collect()}
     for k, part in frame.groupby("k")["v"]:
         assert np.allclose(got[k], part.quantile([0.25, 0.9]))
 

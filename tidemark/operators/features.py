@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import equal_bin, ratio
 from ..session import cut_lineage
-from .ranks import exact_quantiles
+from .ranks import SMALL_GROUP, exact_quantiles, largest_group
 from .relational import top_k
 from .skew import broadcast_if_small
 from .stats import pearson
@@ -128,8 +128,12 @@ def _sample_skew(column: str) -> Column:
 def _group_numbers(df: DataFrame, key: str, columns: Sequence[str], child: str, aggs: Sequence[str]) -> DataFrame:
     build = {"sum": F.sum, "std": F.stddev_samp, "skew": _sample_skew}
     plain = [build[a](c).alias(f"{a}_{child}_{c}") for c in columns for a in aggs if a in build]
+    medians = [c for c in columns if "median" in aggs]
+    if medians and largest_group(df, [key]) <= SMALL_GROUP:
+        plain += [F.median(F.col(c).cast("double")).alias(f"median_{child}_{c}") for c in medians]
+        medians = []
     result = df.groupBy(key).agg(F.count("*").alias(f"count_{child}"), *plain)
-    if "median" in aggs and columns:
+    if medians:
         cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns])
         long = df.select(key, F.explode(cells).alias("_c")).select(key, "_c.*")
         medians = exact_quantiles(long, [key, "_column"], "_value", {"_median": 0.5})

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BINS = 2000
+SMALL_GROUP = 10_000
 
 
 def default_bins(df: DataFrame) -> int:
@@ -86,6 +87,11 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str |
     return ranked.select(*keys, value, "n", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group, counted with map-side combining."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
 def order_number(text: str | Column) -> Column:
     """Number that follows the byte order of a text by its first seven bytes, for ``value_bins``."""
     column = F.col(text) if isinstance(text, str) else text
@@ -100,9 +106,18 @@ def exact_quantiles(
     probs: dict[str, float],
     weight: str | Column | None = None,
     bins: int | None = None,
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per key, one column per name in ``probs``."""
+    """Linearly interpolated quantiles per key, one column per name in ``probs``.
+
+    Groups seen to have at most ``small_group`` rows go through the built-in percentile, which
+    holds a group's values in one task; otherwise ranks come from value bins.
+    """
     keys = list(keys)
+    if largest_group(df, keys) <= small_group:
+        p = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(x) for x in probs.values()]), F.lit(1) if weight is None else weight)
+        found = df.groupBy(*keys).agg(p.alias("_p"))
+        return found.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(probs)])
     ranked = value_counts_before(df, keys, value, weight, bins)
     sizes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.sum(F.lit(1).cast("bigint") if weight is None else weight).alias("_size")

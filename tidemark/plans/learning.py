@@ -237,7 +237,7 @@ def predict_grid(t: Tables) -> DataFrame:
 @query("value_band_model")
 def value_band_model(t: Tables) -> DataFrame:
     data = cut_lineage(hash_split(models.band_table(si.players(t)), ["short_name"], 0.75, 1))
-    model = models.train_value_bands(data.where(F.col("part") == "train"), max_iter=100)
+    model = models.train_value_bands(data.where(F.col("part") == "train"))
     return metrics.weighted_f1(models.score(model, data.where(F.col("part") == "validation")), "value_range", "prediction")
 
 
@@ -256,20 +256,20 @@ PART_FEATURES = ["p_size", "n_lines", "quantity"]
 @query("forest_model")
 def forest_model(t: Tables) -> DataFrame:
     data = cut_lineage(hash_split(parts(t), ["p_partkey"], 0.7, 1))
-    model = models.train_forest(data.where(F.col("part") == "train"), PART_FEATURES, "p_retailprice", trees=20)
+    model = models.train_forest(data.where(F.col("part") == "train"), PART_FEATURES, "p_retailprice")
     return metrics.regression_metrics(models.score(model, data.where(F.col("part") == "validation")), "p_retailprice", "prediction")
 
 
 @query("importances")
 def importances(t: Tables) -> DataFrame:
-    model = models.train_forest(cut_lineage(parts(t)), PART_FEATURES, "p_retailprice", trees=20)
+    model = models.train_forest(cut_lineage(parts(t)), PART_FEATURES, "p_retailprice")
     return models.feature_importances(model, PART_FEATURES, t.spark)
 
 
 @query("cv_auc")
 def cv_auc(t: Tables) -> DataFrame:
     data = cut_lineage(si.programme(t))
-    return models.cv_auc(data, ["nation", "n_orders", "balance"], "treat", "id", folds=3, trees=50)
+    return models.cv_auc(data, ["nation", "n_orders", "balance"], "treat", "id", folds=3)
 
 
 # -- explanations: ten numeric features of the cover table ---------------------------------------------
