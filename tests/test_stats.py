@@ -127,3 +127,9 @@ def test_split_does_not_depend_on_partitions(spark):
     b = resample.hash_split(df.coalesce(1), ["id"], 0.75, 5)
     assert rows(a) == rows(b)
     assert 700 < a.where("part = 'train'").count() < 800
+
+
+def test_constant_over_many_partitions(spark):
+    df = spark.range(0, 9999, 1, 37).select("id", F.lit(0.1).alias("c"), (F.col("id") % 3).alias("g"))
+    row = df.agg(stats.pearson("c", "id").alias("a"), stats.pearson("id", "g").alias("b")).first()
+    assert row["a"] is None and row["b"] is not None

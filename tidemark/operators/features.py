@@ -48,7 +48,8 @@ def dummies(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataF
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Subtract the mean and divide by the sample deviation; a constant column gives null."""
-    facts = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_samp(c).alias(f"s_{c}") for c in columns]).first()
+    deviation = lambda c: F.when(F.min(c) < F.max(c), F.stddev_samp(c))
+    facts = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[deviation(c).alias(f"s_{c}") for c in columns]).first()
     # two numbers per column: they enter the plan as literals
     return df.withColumns({c: ratio(F.col(c) - F.lit(facts[f"m_{c}"]), F.lit(facts[f"s_{c}"])) for c in columns})
 
@@ -121,8 +122,7 @@ CATEGORY_AGGS = ("mode", "n_unique")
 
 def _sample_skew(column: str) -> Column:
     n = F.count(column).cast("double")
-    varied = F.coalesce(F.stddev_pop(column), F.lit(0.0)) > 0
-    return F.when((n > 2) & varied, F.skewness(F.when(F.col(column).isNotNull(), F.col(column))) * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when((n > 2) & (F.min(column) < F.max(column)), F.skewness(F.when(F.col(column).isNotNull(), F.col(column))) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def _group_numbers(df: DataFrame, key: str, columns: Sequence[str], child: str, aggs: Sequence[str]) -> DataFrame:

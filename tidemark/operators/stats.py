@@ -15,10 +15,14 @@ from .skew import salted_join
 
 
 def pearson(x: str, y: str) -> Column:
-    """Correlation aggregate; null when a column is constant. Rows with a null count for neither."""
+    """Correlation aggregate; null when a column is constant. Rows with a null count for neither.
+
+    Constancy is decided by the ends: merged deviations of equal values need not be exactly zero.
+    """
     a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
     b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
-    return ratio(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+    varied = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    return F.when(varied, ratio(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b)))
 
 
 def correlate(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -158,7 +158,7 @@ def deep_features(t: Tables) -> DataFrame:
 
 
 @query("select_features", DEEP_HEAD + "select feature, round(r, 6) as r from (" + " union all ".join(
-    f"select '{c}' as feature, case when stddev_pop({c}) filter (label is not null) > 0 then corr({c}::double, label) end as r from deep" for c in DEEP_NUMBERS
+    f"select '{c}' as feature, case when min({c}) < max({c}) then corr({c}::double, label) end as r from deep" for c in DEEP_NUMBERS
 ) + ") where r is not null order by r desc, feature limit 10")
 def select_features(t: Tables) -> DataFrame:
     found = features.select_by_correlation(features.synthesise(retail(t), "users"), "label", DEEP_NUMBERS)

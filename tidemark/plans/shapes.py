@@ -69,8 +69,8 @@ SHOWN = r"regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<
 
 def plain_sql(markup: str) -> str:
     text = rf"trim(regexp_replace(regexp_replace({markup}, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
-    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        text = f"replace({text}, '{name}', '{char}')"
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
     return text
 
 
