@@ -116,7 +116,7 @@ def exact_quantiles(
     keys = list(keys)
     if largest_group(df, keys) <= small_group:
         p = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(x) for x in probs.values()]), F.lit(1) if weight is None else weight)
-        found = df.groupBy(*keys).agg(p.alias("_p"))
+        found = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(p.alias("_p"))
         return found.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(probs)])
     ranked = value_counts_before(df, keys, value, weight, bins)
     sizes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.colour import rgb_to_lab
+from ..functions.hashing import hash_sql
 from ..functions.numeric import rounded
 from ..operators import explain, features, metrics, models
 from ..operators.relational import with_previous_day
@@ -50,12 +51,17 @@ def anomalies(t: Tables) -> DataFrame:
     return models.detect(si.connections(t), KINDS, ["value"], "id", k=8, threshold=0.97)
 
 
-@query("min_max", """
-    , facts as (select """ + ", ".join(f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in si.COVER) + """ from cover where id % 5 <> 0)
-    select id, """ + ", ".join(f"round(({c} - lo_{c}) / (hi_{c} - lo_{c}), 6) + 0.0 as {c}" for c in si.COVER) + " from cover, facts", ("cover",))
+MIN_MAX_SQL = f"""
+    , facts as (select {", ".join(f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in si.COVER)} from cover
+                where ({hash_sql("'2'", "id")} >> 8)::double / (1::bigint << 52) < 0.8)
+    select id, {", ".join(f"round(({c} - lo_{c}) / (hi_{c} - lo_{c}), 6) + 0.0 as {c}" for c in si.COVER)} from cover, facts"""
+
+
+@query("min_max", MIN_MAX_SQL, ("cover",))
 def min_max(t: Tables) -> DataFrame:
-    data = si.cover(t)
-    scaled = features.min_max(data.where(F.col("id") % 5 != 0), data, si.COVER)
+    """Ranges come from the training part, every row is scaled."""
+    data = hash_split(si.cover(t), ["id"], 0.8, 2)
+    scaled = features.min_max(data.where(F.col("part") == "train"), data, si.COVER)
     return scaled.select("id", *[rounded(F.col(c)).alias(c) for c in si.COVER])
 
 

@@ -67,7 +67,7 @@ def jaccard_join(t: Tables) -> DataFrame:
           from documents)
     select doc_id as id, set_id from m join sets using (tokens)""")
 def token_sets(t: Tables) -> DataFrame:
-    members = simjoin.token_members(t.documents, "doc_id", ["text"])
+    members = cut_lineage(simjoin.token_members(widen(t.documents.select("doc_id", "text")), "doc_id", ["text"]))
     return simjoin.set_membership(members, simjoin.token_sets(members))
 
 
