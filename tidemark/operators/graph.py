@@ -19,6 +19,7 @@ from .ranks import order_number, row_numbers, running_totals, value_bins
 from .skew import all_salts, hot_hashes, salt_of, salted_join
 
 COMPACT_EVERY = 8
+EDGES_PER_TASK = 20_000  # a small graph does not need every task of the cluster
 
 
 # -- building graphs --------------------------------------------------------------------------
@@ -116,7 +117,8 @@ def spread(edges: DataFrame, share: float = 0.002) -> SpreadEdges:
     """Lay edges out once; a hub holds about ``share`` of them, so there are few."""
     edges = cut_lineage(edges.where("src is not null and dst is not null").select("src", "dst").distinct())
     hubs = hot_hashes(edges, ["src"], share)
-    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = min(most, edges.count() // EDGES_PER_TASK + 1)
     laid = edges.withColumn("_salt", salt_of(["src"], hubs, ["dst"])).repartition(width, "src", "_salt")
     return SpreadEdges(laid.persist(StorageLevel.MEMORY_AND_DISK), hubs)
 

@@ -43,6 +43,8 @@ def bootstrap_ci(
     spark = df.sparkSession
     known = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias(value))
     n = known.count()
+    if n == 0:
+        raise ValueError(f"{value} has no values to resample")
     numbered = running_totals(known, [], [value, key], F.lit(1).cast("bigint"), value_bins(known, value), "position")
 
     slots = spark.range(n * reps).select((F.col("id") % reps).alias("rep"), F.floor(F.col("id") / reps).alias("slot"))

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio
 from .relational import enrich, first_band, union_distinct
 
 # Player value bands in euro (closed ranges, first match wins) and body codes.
