@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, packing, secrets, simhash
+from . import contamination, extraction, language, packing, secrets, simhash, toxicity
 from .batches import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,19 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op6_toxicity")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_rest("doc_id", 5) == 0, F.lit(False))
+    lexicon = toxicity.fit(docs.where(~held_out), table(spark, folder, "labels"))
+    return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op7_extraction")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_paths())

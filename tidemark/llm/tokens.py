@@ -19,7 +19,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ALPHA = np.zeros(256, bool)
 _ALPHA[[*range(65, 91), *range(97, 123)]] = True
 #: White space beyond ASCII, and controls that some call white space: such texts are encoded whole.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏    -⁤　﻿]")
+_ODD_CODES = (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, *range(0x205F, 0x2065), 0x3000, 0xFEFF)
+_ODD = re.compile(f"[{''.join(map(chr, _ODD_CODES))}]")
 
 
 class Encoder:
