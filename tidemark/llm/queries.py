@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, extraction, language, packing, secrets, simhash, toxicity
+from . import contamination, extraction, language, neighbours, packing, secrets, simhash, toxicity
 from .batches import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return secrets.scan(docs, secrets.fit(docs))
+
+
+@query("op10_neighbours")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"))

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from .batches import by_bytes
 
-#: Most labelled documents of either label that a lexicon is learnt from, chosen by a hash.
-MAX_TRAIN = 3_000
+#: Most toxic documents that a lexicon is learnt from, chosen by a hash, and clean ones for each of them.
+MAX_TRAIN = 2_000
+CLEAN_FOR_TOXIC = 4
 #: Word beginnings looked at as terms, besides whole words.
 STEMS = range(4, 9)
 LEAST_DOCS = 3
-#: Least log-likelihood ratio statistic of a term among documents that no chosen term explains.
+#: Least log-likelihood ratio statistic of a term.
 LEAST_G2 = 25.0
+STRONG, WEAK = 20.0, 4.0
 #: Share of clean documents among those with a phrase from which on it is an exception.
 EXCEPTION_SHARE = 0.9
 MAX_TERMS = 2_000
@@ -111,10 +113,11 @@ def features(automaton: ahocorasick.Automaton | None, text: str | None) -> tuple
 
 
 def choose(toxic_docs: list[set[str]], clean: Counter, n_clean: int) -> dict[str, float]:
-    """Terms that tell toxic documents, one after the other by what they add.
+    """Terms that tell toxic documents, with their log-odds as weights.
 
-    A term's statistic counts the toxic documents that no earlier term explains, so words that merely
-    share a document, or a group of copies, with a telling term are not taken. The longest of equal terms wins.
+    Terms ``STRONG`` times as common in toxic documents are taken first, of those with a common beginning the
+    most telling, at a draw the longest. Weaker ones follow one by one, judged by the toxic documents that
+    no chosen term explains, so words that merely share a document with a telling term are not taken.
     """
     where: dict[str, set[int]] = defaultdict(set)
     for i, d in enumerate(toxic_docs):
@@ -134,17 +137,29 @@ def choose(toxic_docs: list[set[str]], clean: Counter, n_clean: int) -> dict[str
 
     left = {t: s for t, s in where.items() if len(s) >= LEAST_DOCS and g2(len(s), clean[t]) >= LEAST_G2}
     full = {t: len(s) for t, s in left.items()}
+    rate = {t: (n + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[t] + 0.5) for t, n in full.items()}
+    left = {t: s for t, s in left.items() if rate[t] >= WEAK}
+
+    def order(t: str) -> tuple[float, int, str]:
+        return g2(len(left[t]), clean[t]), len(t.strip()), t
+
+    def related(t: str, u: str) -> bool:
+        return t.startswith(u.rstrip()) or u.startswith(t.rstrip())
+
     weights: dict[str, float] = {}
+    done: set[int] = set()
+    for t in sorted((t for t in left if rate[t] >= STRONG), key=order, reverse=True)[: 20 * MAX_TERMS]:
+        if len(weights) < MAX_TERMS and not any(related(t, u) for u in weights):
+            weights[t] = float(np.log(rate[t]))
+            done |= left[t]
+    left = {t: s - done for t, s in left.items() if t not in weights}
     while left and len(weights) < MAX_TERMS:
-        best = max(left, key=lambda t: (g2(len(left[t]), clean[t]), len(t.strip()), t))
+        best = max(left, key=order)
         if g2(len(left[best]), clean[best]) < LEAST_G2:
             break
-        done = set(left.pop(best))
-        weights[best] = float(np.log((full[best] + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[best] + 0.5)))
-        for t in list(left):
-            left[t] = left[t] - done
-            if len(left[t]) < LEAST_DOCS:
-                del left[t]
+        done = left.pop(best)
+        weights[best] = float(np.log(rate[best]))
+        left = {t: s - done for t, s in left.items() if len(s - done) >= LEAST_DOCS}
     return weights
 
 
@@ -160,7 +175,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float,
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """``text`` and ``toxic`` of at most about ``max_train`` labelled documents of each label.
+    """``text`` and ``toxic`` of at most about ``max_train`` toxic documents and ``CLEAN_FOR_TOXIC`` times as many clean ones.
 
     Ids are chosen first, by hash, so only chosen texts move; near copies, which share the smallest
     hash of their long words, count once.
@@ -169,7 +184,8 @@ def sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
     total = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     limit = F.lit(0)
     for label, n in total.items():
-        limit = F.when(F.col("toxic") == label, int(min(1.0, max_train / n) * (1 << 30))).otherwise(limit)
+        most = max_train if label else CLEAN_FOR_TOXIC * max_train
+        limit = F.when(F.col("toxic") == label, int(min(1.0, most / n) * (1 << 30))).otherwise(limit)
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < limit).select(F.col("doc_id").alias("_id"), "toxic")
     joined = docs.select(F.col("doc_id").alias("_id"), "text").where("text is not null").join(F.broadcast(chosen), "_id")
     long = F.filter(F.split("text", r"\s+"), lambda w: F.length(w) >= 7)
@@ -178,7 +194,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lexicon:
-    """Lexicon, exceptions and curve from labelled documents; at most ``max_train`` of each label reach the driver."""
+    """Lexicon, exceptions and curve from labelled documents; at most ``max_train`` toxic ones and four times as many clean ones reach the driver."""
     rows = sample(docs, labels, max_train).collect()
     toxic_rows = [r["text"] for r in rows if r["toxic"] == 1]
     held: Counter = Counter()
