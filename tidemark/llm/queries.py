@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, extraction, language, neighbours, packing, secrets, simhash, toxicity
+from . import contamination, extraction, language, neighbours, packing, secrets, simhash, substrings, suffixes, toxicity
 from .batches import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,10 +36,20 @@ def tokenizer_paths() -> tuple[str, str, str]:
 
 #: Words of a text as the operators take them: lower-cased A-Z, cut at ASCII white space.
 _WORDS = (
-    r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"
+    r"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 )
 
 
+@query("op1_substrings")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op5_suffixes")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove(table(spark, folder, "documents")).drop("kept")
+
+
 @query(
     "op2_decontaminate",
     f"""
