@@ -115,3 +115,14 @@ def test_head_of_union(spark):
     a, b = spark.range(3), spark.range(2, 5)
     assert rel.union_rows(a, b).count() == 6
     assert rows(rel.head_rows(rel.union_distinct(a, b), ["id"], 4)) == [(0,), (1,), (2,), (3,)]
+
+
+def test_absolute_addresses(spark):
+    page = "https://h.org/a/b/c.html?x=1#top"
+    want = {
+        "/x": "https://h.org/x", "//cdn.org/x": "https://cdn.org/x", "x": "https://h.org/a/b/x", "../x?q#f": "https://h.org/a/x?q#f",
+        "./": "https://h.org/a/b/", "..": "https://h.org/a/", "../../../x": "https://h.org/x", "?q": "https://h.org/a/b/c.html?q",
+        "#f": "https://h.org/a/b/c.html?x=1#f", "": "https://h.org/a/b/c.html?x=1", "mailto:a@b": "mailto:a@b", "HTTP://o/y": "HTTP://o/y",
+    }
+    for link, address in want.items():
+        assert one(spark, text.absolutise("s", F.lit(page)), s=link) == address

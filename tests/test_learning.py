@@ -204,10 +204,25 @@ def test_partial_dependence_and_surrogates(explained):
     dependence = explain.partial_dependence(model, data, learning.NAMES, ["e0", "e3"], 5)
     assert dependence.count() == 10 and dependence.where("mean_p < 0 or mean_p > 1").count() == 0
     table, same = explain.surrogate(model, data, learning.NAMES)
-    assert table.count() == 10 and 0.5 <= same.first()[0] <= 1
+    assert table.count() == len(learning.NAMES) and 0.5 <= same.first()[0] <= 1
     logistic = learning.black(data, "logistic")
     weights = {r["feature"]: r["coefficient"] for r in explain.coefficients(logistic, learning.NAMES, data.sparkSession).collect()}
-    local = explain.local_surrogate(logistic, data.where("id = 3"), learning.NAMES, n=200)
-    assert local.count() == 10
+    local = explain.local_surrogate(logistic, data.where("id = 3"), data, learning.NAMES, n=400)
+    assert local.count() == len(learning.NAMES)
     strongest = max(weights, key=lambda n: abs(weights[n]))
-    assert weights[strongest] * local.where(F.col("feature") == strongest).first()["weight"] >= 0
+    assert weights[strongest] * local.where(F.col("feature") == strongest).first()["weight"] > 0
+
+
+def test_local_surrogate_of_one_row_equals_that_in_the_table(explained):
+    data, _ = explained
+    logistic = learning.black(data, "logistic")
+    one = explain.local_surrogate(logistic, data.where("id = 3"), data, learning.NAMES, n=200).collect()
+    two = explain.local_surrogate(logistic, data.where("id in (3, 4)"), data, learning.NAMES, n=200).where("id = 3").collect()
+    assert {r["feature"]: round(r["weight"], 9) for r in one} == {r["feature"]: round(r["weight"], 9) for r in two}
+
+
+def test_links_in_every_quoting(spark):
+    html = "<a href=\"/p\">x</a><a class='b' href='/q'>y</a><A title=\"a>b\" HREF=/r>z</a><a name=t>n</a>"
+    df = spark.createDataFrame([(1, "https://h.org/d/e?x=1#f", html)], "page_id long, url string, html string")
+    assert rows(pages.page_links(df)) == [(1, "/p", "https://h.org/p"), (1, "/q", "https://h.org/q"), (1, "/r", "https://h.org/r")]
+    assert pages.page_fields(df).first()["n_links"] == 3

@@ -133,3 +133,10 @@ def test_constant_over_many_partitions(spark):
     df = spark.range(0, 9999, 1, 37).select("id", F.lit(0.1).alias("c"), (F.col("id") % 3).alias("g"))
     row = df.agg(stats.pearson("c", "id").alias("a"), stats.pearson("id", "g").alias("b")).first()
     assert row["a"] is None and row["b"] is not None
+
+
+def test_crosstab_tells_null_labels_from_totals(spark):
+    df = spark.createDataFrame([("x", None), ("x", "y"), (None, "y")], "a string, b string")
+    got = profile.crosstab(df, "a", "b").collect()
+    assert len({(r["a"], r["b"], r["level"]) for r in got}) == len(got) == 8
+    assert next(r["n"] for r in got if r["level"] == 3) == 3

@@ -79,9 +79,30 @@ def list_item(text: str | Column, separator: str, position: int) -> Column:
     return F.trim(F.try_element_at(F.split(col(text), separator), F.lit(position)))
 
 
-def absolutise(link: str | Column, base: str | Column) -> Column:
-    """Rewrite a host-relative link to an absolute one; others are kept."""
-    return F.when(col(link).startswith("/"), F.concat(col(base), col(link))).otherwise(col(link))
+def absolutise(link: str | Column, page: str | Column) -> Column:
+    """Address that a link means on a page: links with a scheme are kept, ``//host``, ``/path``, ``?query``,
+    ``#part`` and relative paths with dot segments are resolved. Without an address of the page the link stays."""
+    href, base = F.trim(col(link)), col(page)
+    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", ""))
+    own, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    full = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+
+    def walk(done: Column, step: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(step == "..", up).when(step == ".", done).otherwise(F.array_append(done, step))
+
+    steps = F.aggregate(F.split(F.substring(full, 2, 1 << 30), "/"), F.array().cast("array<string>"), walk)
+    ends = F.when(full.rlike(r"/\.\.?$") & (F.size(steps) > 0), "/").otherwise("")
+    return (
+        F.when((origin == "") | base.isNull() | href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([^:]*:)", 1), href))
+        .when(href == "", F.regexp_replace(base, "#.*$", ""))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
+        .when(href.startswith("?"), F.concat(origin, F.when(path == "", "/").otherwise(path), href))
+        .otherwise(F.concat(origin, F.lit("/"), F.array_join(steps, "/"), ends, rest))
+    )
 
 
 def parse_list(text: str | Column) -> Column:

@@ -140,14 +140,17 @@ def shapley(model, rows: DataFrame, background: DataFrame, names: Sequence[str],
     return shares.join(bases, "id").select("id", name.alias("feature"), "share", "base")
 
 
-def local_surrogate(model, rows: DataFrame, names: Sequence[str], n: int = 100, width: float = 0.75, seed: int = 1) -> DataFrame:
+def local_surrogate(
+    model, rows: DataFrame, background: DataFrame, names: Sequence[str], n: int = 100, width: float = 0.75, seed: int = 1
+) -> DataFrame:
     """Linear model around each row: weights of the features in a neighbourhood of it.
 
     Each row gets ``n`` copies moved by normal noise in units of the feature's deviation over
-    the table; copies are weighted by closeness. The solver sees one row's ``n`` copies at a time.
+    ``background``, so a single row can be explained; copies are weighted by closeness. The solver
+    sees one row's ``n`` copies at a time.
     """
     d = len(names)
-    deviations = rows.agg(*[F.stddev_samp(F.col("x")[i]) for i in range(d)]).first()
+    deviations = background.agg(*[F.stddev_samp(F.col("x")[i]) for i in range(d)]).first()
     facts = F.array(*[F.lit(float(v or 0.0)) for v in deviations])
 
     def normal(i: int) -> Column:

@@ -18,10 +18,9 @@ HEAD = r"(?is)<head\b.*?</head>"
 TAG = r"<[^>]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 HEADING = r"(?is)<h1[^>]*>(.*?)</h1>"
-LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+LINK = r"""(?i)<a\s(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 TABLE_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"
-ORIGIN = r"^([a-z][a-z0-9+.-]*://[^/?#]+)"
 
 
 @F.pandas_udf(StringType())
@@ -39,6 +38,11 @@ def visible(markup: Column) -> Column:
     return F.regexp_replace(markup, HIDDEN, " ")
 
 
+def hrefs(markup: Column) -> Column:
+    """Link targets as written in double, single or no quotes."""
+    return F.transform(F.regexp_extract_all(markup, F.lit(LINK), F.lit(1)), lambda h: F.regexp_replace(h, "^[\"']|[\"']$", ""))
+
+
 def page_fields(pages: DataFrame, id: str = "page_id", url: str = "url", markup: str = "html") -> DataFrame:
     """Title, first heading, link count and readable text of each page."""
     shown = pages.select(id, url, visible(F.col(markup)).alias("_m"))
@@ -46,7 +50,7 @@ def page_fields(pages: DataFrame, id: str = "page_id", url: str = "url", markup:
         id, url,
         plain(F.regexp_extract("_m", TITLE, 1)).alias("title"),
         plain(F.regexp_extract("_m", HEADING, 1)).alias("heading"),
-        F.size(F.regexp_extract_all("_m", F.lit(LINK), F.lit(1))).cast("bigint").alias("n_links"),
+        F.size(hrefs(F.col("_m"))).cast("bigint").alias("n_links"),
         plain(F.regexp_replace("_m", HEAD, " ")).alias("text"),
     )
 
@@ -56,10 +60,9 @@ def page_titles(pages: DataFrame, id: str = "page_id", markup: str = "html") ->
 
 
 def page_links(pages: DataFrame, id: str = "page_id", url: str = "url", markup: str = "html") -> DataFrame:
-    """Every link of every page as written and as an absolute address on the page's own host."""
-    found = F.regexp_extract_all(visible(F.col(markup)), F.lit(LINK), F.lit(1))
-    rows = pages.select(id, F.regexp_extract(url, ORIGIN, 1).alias("_base"), F.explode(found).alias("href"))
-    return rows.select(id, "href", absolutise("href", "_base").alias("url"))
+    """Every link of every page as written and as an absolute address, read from the page's own."""
+    rows = pages.select(id, F.col(url).alias("_page"), F.explode(hrefs(visible(F.col(markup)))).alias("href"))
+    return rows.select(id, "href", absolutise("href", "_page").alias("url"))
 
 
 def table_rows(pages: DataFrame, id: str = "page_id", markup: str = "html") -> DataFrame:

@@ -85,5 +85,5 @@ def bin2d(df: DataFrame, x: str, y: str, nx: int, ny: int) -> DataFrame:
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Two-way counts with totals; a null label marks a total."""
-    return df.cube(a, b).agg(F.count("*").alias("n"))
+    """Two-way counts with totals. ``level`` tells totals from null labels: 1 sums over ``b``, 2 over ``a``, 3 over both."""
+    return df.cube(a, b).agg(F.count("*").alias("n"), F.grouping_id().cast("int").alias("level"))

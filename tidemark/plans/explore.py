@@ -166,7 +166,10 @@ def ab_difference(t: Tables) -> DataFrame:
 
 
 @query("crosstab", """
-    select is_instructor, search_ui, count(*) as n from search_log group by cube (is_instructor, search_ui)""", ("search_log",))
+    select is_instructor, search_ui, count(*) as n, 0 as level from search_log group by all
+    union all select is_instructor, null, count(*), 1 from search_log group by is_instructor
+    union all select null, search_ui, count(*), 2 from search_log group by search_ui
+    union all select null, null, count(*), 3 from search_log""", ("search_log",))
 def crosstab(t: Tables) -> DataFrame:
     return profile.crosstab(si.search_log(t), "is_instructor", "search_ui")
 

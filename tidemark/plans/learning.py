@@ -278,9 +278,10 @@ def cv_auc(t: Tables) -> DataFrame:
     return models.cv_auc(data, ["nation", "n_orders", "balance"], "treat", "id", folds=3)
 
 
-# -- explanations: ten numeric features of the cover table ---------------------------------------------
+# -- explanations: all numeric features of the cover table ---------------------------------------------
 
-NAMES = list(si.COVER[:10])
+NAMES = list(si.COVER)
+PLOTTED = NAMES[:10]  # the columns that partial dependence is asked for
 
 
 def rows(t: Tables) -> DataFrame:
@@ -304,7 +305,7 @@ def coefficients(t: Tables) -> DataFrame:
     return explain.coefficients(black(rows(t), "logistic"), NAMES, t.spark)
 
 
-WEIGHTS = [round(0.5 - 0.1 * i, 1) for i in range(10)]
+WEIGHTS = [round(0.5 - 0.1 * (i % 11), 1) for i in range(len(NAMES))]
 
 
 @query("contributions", " union all ".join(
@@ -323,7 +324,7 @@ def permutation_importance(t: Tables) -> DataFrame:
 @query("partial_dependence")
 def partial_dependence(t: Tables) -> DataFrame:
     data = rows(t)
-    return explain.partial_dependence(black(data), data, NAMES, NAMES, 10)
+    return explain.partial_dependence(black(data), data, NAMES, PLOTTED, 10)
 
 
 @query("surrogate")
@@ -342,4 +343,4 @@ def shapley(t: Tables) -> DataFrame:
 @query("local_surrogate")
 def local_surrogate(t: Tables) -> DataFrame:
     data = rows(t)
-    return explain.local_surrogate(black(data), data, NAMES, n=60)
+    return explain.local_surrogate(black(data), data, data, NAMES, n=2 * len(NAMES))

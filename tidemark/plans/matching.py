@@ -118,11 +118,12 @@ def active_learning(t: Tables) -> DataFrame:
 
 @query("exact_match", """
     , pairs as (select c.id, c.outcome as co, t.outcome as tr, row_number() over (partition by c.id order by t.id) as rn
-                from programme c join programme t on c.nation = t.nation and c.n_orders = t.n_orders where c.treat = 0 and t.treat = 1)
+                from programme c join programme t on c.nation = t.nation and c.n_orders = t.n_orders and floor(c.balance / 2000) = floor(t.balance / 2000) where c.treat = 0 and t.treat = 1)
     select count(*) as n_matched, round(count(*) * 100.0::double / (select count(*) from programme where treat = 0), 6) as pct,
            round(avg(tr - co), 4) as effect from pairs where rn = 1""", ("programme",))
 def exact_match(t: Tables) -> DataFrame:
-    return _rounded_effect(causal.exact_match_effect(si.programme(t), "treat", "outcome", ["nation", "n_orders"], "id"))
+    rows = si.programme(t).withColumn("balance_band", F.floor(F.col("balance") / 2000))  # cents are never alike
+    return _rounded_effect(causal.exact_match_effect(rows, "treat", "outcome", ["nation", "n_orders", "balance_band"], "id"))
 
 
 def _rounded_effect(df: DataFrame) -> DataFrame:

@@ -13,34 +13,31 @@ from . import standins as si
 from .registry import query
 from .tables import Tables
 
-LAB_SQL = """
-    , unit as (select *, "R" / 255.0::double as r1, "G" / 255.0::double as g1, "B" / 255.0::double as b1 from colours),
-    lin as (select *, """ + ", ".join(
-    f"case when {c}1 > 0.04045 then power(({c}1 + 0.055) / 1.055, 2.4) else {c}1 / 12.92 end as {c}2" for c in "rgb"
-) + """ from unit),
-    xyz as (select *, (r2 * 0.412453 + g2 * 0.357580 + b2 * 0.180423) / 0.95047 as x1,
-                      (r2 * 0.212671 + g2 * 0.715160 + b2 * 0.072169) as y1,
-                      (r2 * 0.019334 + g2 * 0.119193 + b2 * 0.950227) / 1.08883 as z1 from lin),
-    f as (select *, """ + ", ".join(
-    f"case when {c}1 > 0.008856 then power({c}1, 1.0::double / 3) else 7.787 * {c}1 + 16.0 / 116 end as {c}2" for c in "xyz"
-) + ' from xyz)'
+# The checking SQL works on lists of channels, from the definitions of sRGB and CIE LAB.
+LAB_SQL = f"""
+    , tri as (select id, "R", "G", "B", list_transform({[list(row) for row in colour.RGB_TO_XYZ]}::double[][], lambda row: list_inner_product(row,
+                  list_transform(["R", "G", "B"], lambda v: if(v <= {255 * colour.SRGB_CUT}, v / {255 * colour.SRGB_SLOPE},
+                      pow((v / 255.0::double + {colour.SRGB_OFFSET}) / {colour.SRGB_SCALE}, {colour.SRGB_GAMMA}))))) as tri from colours),
+    lab as (select id, "R", "G", "B", list_transform(list_zip(tri, {list(colour.WHITE)}::double[]), lambda p: if(p[1] / p[2] <= {colour.LAB_CUT},
+                  p[1] / p[2] * {colour.LAB_SLOPE} + {colour.LAB_OFFSET}, pow(p[1] / p[2], 1 / 3.0::double))) as t from tri)"""
 
 
 @query("rgb_to_lab", LAB_SQL + """
-    select id, "R", "G", "B", round(116 * y2 - 16, 6) + 0.0 as "labL", round(500 * (x2 - y2), 6) + 0.0 as "labA",
-           round(200 * (y2 - z2), 6) + 0.0 as "labB" from f""", ("colours",))
+    select id, "R", "G", "B", round(t[2] * 116 - 16, 6) + 0.0 as "labL", round((t[1] - t[2]) * 500, 6) + 0.0 as "labA",
+           round((t[2] - t[3]) * 200, 6) + 0.0 as "labB" from lab""", ("colours",))
 def rgb_to_lab(t: Tables) -> DataFrame:
     lab = colour.rgb_to_lab(si.colours(t), keep=("id",))
     return lab.withColumns({c: rounded(F.col(c)) for c in ("labL", "labA", "labB")})
 
 
+# Hue by the angle formula on whole channels: 60 degrees a sector, counted from the largest channel.
 @query("rgb_to_hsv", """
-    , unit as (select *, "R" / 255.0::double as r1, "G" / 255.0::double as g1, "B" / 255.0::double as b1 from colours),
-    ends as (select *, greatest(r1, g1, b1) as hi, greatest(r1, g1, b1) - least(r1, g1, b1) as d from unit),
-    turned as (select *, case when d = 0 then 0.0::double when r1 > g1 and r1 > b1 then (g1 - b1) / d
-                              when g1 > b1 then 2 + (b1 - r1) / d else 4 + (r1 - g1) / d end / 6 as h from ends)
-    select id, "R", "G", "B", round(case when h < 0 then h + 1 else h end, 6) + 0.0 as "H",
-           round(case when d = 0 then 0.0::double else d / hi end, 6) as "S", round(hi, 6) as "V" from turned""", ("colours",))
+    select id, "R", "G", "B",
+           round(coalesce(((case greatest("R", "G", "B") when "B" then 240 + 60 * ("R" - "G") / 255.0::double / nullif(top - low, 0)
+                                                         when "G" then 120 + 60 * ("B" - "R") / 255.0::double / nullif(top - low, 0)
+                                                         else 360 + 60 * ("G" - "B") / 255.0::double / nullif(top - low, 0) end) % 360) / 360, 0), 6) as "H",
+           round(coalesce((top - low) / nullif(top, 0), 0), 6) as "S", round(top, 6) as "V"
+    from (select *, greatest("R", "G", "B") / 255.0::double as top, least("R", "G", "B") / 255.0::double as low from colours)""", ("colours",))
 def rgb_to_hsv(t: Tables) -> DataFrame:
     hsv = colour.rgb_to_hsv(si.colours(t), keep=("id",))
     return hsv.withColumns({c: rounded(F.col(c)) for c in "HSV"})
@@ -77,7 +74,9 @@ def plain_sql(markup: str) -> str:
 TITLE_SQL = plain_sql("regexp_extract(shown, '(?is)<title[^>]*>(.*?)</title>', 1)")
 HEADING_SQL = plain_sql("regexp_extract(shown, '(?is)<h1[^>]*>(.*?)</h1>', 1)")
 BODY_SQL = r"regexp_replace(shown, '(?is)<head\b.*?</head>', ' ', 'g')"
-LINKS_SQL = r"""regexp_extract_all(shown, '(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"', 1)"""
+# whole opening tags first, then the value after href=, quotes cut off
+LINKS_SQL = r"""list_transform(list_filter(regexp_extract_all(shown, '(?i)<a\s[^>]*>'), lambda a: regexp_matches(a, '(?i)\shref\s*=')),
+    lambda a: regexp_replace(regexp_extract(a, '(?i)\shref\s*=\s*("[^"]*|''[^'']*|[^\s>]*)', 1), '^["'']', ''))"""
 
 
 @query("page_titles", f"select page_id, {TITLE_SQL} as title from (select *, {SHOWN} as shown from pages)")
@@ -93,7 +92,9 @@ def page_fields(t: Tables) -> DataFrame:
 
 
 @query("page_links", f"""
-    select page_id, href, case when starts_with(href, '/') then regexp_extract(page, '^([a-z][a-z0-9+.-]*://[^/?#]+)', 1) || href else href end as url
+    select page_id, href, case when starts_with(href, '//') then split_part(page, '/', 1) || href
+                                      when starts_with(href, '/') then array_to_string(string_split(split_part(split_part(page, '#', 1), '?', 1), '/')[1:3], '/') || href
+                                      else href end as url
     from (select page_id, url as page, unnest({LINKS_SQL}) as href from (select *, {SHOWN} as shown from pages))""")
 def page_links(t: Tables) -> DataFrame:
     return pages.page_links(t.pages)

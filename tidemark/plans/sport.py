@@ -113,14 +113,13 @@ def cast_players(t: Tables) -> DataFrame:
 
 
 @query("drop_fill_nulls", """
-    select pid, coalesce(year_built, 0) as year_built, age from (
-        select pid, year_built, try_cast(age as integer) as age
-        from properties join players on pid = cast(right(short_name, 9) as bigint)) where age is not null""",
-    ("properties", "players"))
+    select short_name, age, coalesce(attack, 0) as attack from (
+        select short_name, try_cast(age as integer) as age, case when attack_rate <> 'N/A' then weight_kg end as attack from players)
+    where age is not null""", ("players",))
 def drop_fill_nulls(t: Tables) -> DataFrame:
-    people = rel.cast_columns(si.players(t), ["age"]).select(F.right("short_name", F.lit(9)).cast("bigint").alias("pid"), "age")
-    joined = si.properties(t).join(people, "pid").select("pid", "year_built", "age")
-    return rel.drop_and_fill(joined, ["age"], {"year_built": 0})
+    people = rel.cast_columns(si.players(t), ["age"])
+    known = people.select("short_name", "age", F.when(F.col("attack_rate") != "N/A", F.col("weight_kg")).alias("attack"))
+    return rel.drop_and_fill(known, ["age"], {"attack": 0})
 
 
 @query("value_bands", """

@@ -7,21 +7,27 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with adaptive execution; cluster settings win over these defaults."""
+    """Session with adaptive execution. ``DEFAULTS`` hold only where neither the cluster nor ``conf`` says otherwise."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    defaults = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-    }
-    for key, value in {**defaults, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    for key, value in DEFAULTS.items():
+        if key not in conf and not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
