@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import seeded_hash
 from ..functions.numeric import ratio
 from ..session import cut_lineage
-from .ranks import order_number, row_numbers, running_totals, value_bins
+from .ranks import row_numbers, text_row_numbers
 from .skew import all_salts, hot_hashes, salt_of, salted_join
 
 COMPACT_EVERY = 8
@@ -63,8 +63,7 @@ def index_vertices(edges: DataFrame) -> DataFrame:
 def number_labels(labels: DataFrame) -> DataFrame:
     """Distinct labels with consecutive numbers ``id`` in their order."""
     if dict(labels.dtypes)["label"] == "string":
-        bins = value_bins(labels, order_number("label"))
-        return running_totals(labels, [], ["label"], F.lit(1).cast("bigint"), bins, "id")
+        return text_row_numbers(labels, "label", "id")
     return row_numbers(labels, "label", name="id")
 
 

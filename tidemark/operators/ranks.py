@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 MAX_BINS = 2000
 SMALL_GROUP = 10_000
 
@@ -92,11 +94,18 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
 
 
-def order_number(text: str | Column) -> Column:
-    """Number that follows the byte order of a text by its first seven bytes, for ``value_bins``."""
-    column = F.col(text) if isinstance(text, str) else text
-    head = F.hex(F.substring(F.encode(column.cast("string"), "UTF-8"), 1, 7))
-    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("bigint")
+def text_row_numbers(df: DataFrame, order: str, name: str = "rn") -> DataFrame:
+    """Zero-based row number along a unique text column, by ranges of the full values.
+
+    Each range is sorted in its own task and adds the rows of the ranges before it, one number a range.
+    """
+    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order)
+    placed = cut_lineage(ranged.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}))
+    counts = placed.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = counts.select("_p", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = placed.join(F.broadcast(offsets), "_p")
+    return numbered.withColumn(name, F.col("_i") - F.col("_first") + F.col("_before")).drop("_p", "_i", "_first", "_before")
 
 
 def exact_quantiles(
