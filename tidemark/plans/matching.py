@@ -81,31 +81,42 @@ def match_quality(t: Tables) -> DataFrame:
     return quality.select(*[rounded(F.col(c)).alias(c) for c in ("precision", "recall", "fmeasure")])
 
 
-FEATURES_SQL = links_sql(0.5) + """
-    , features as (select id1, id2, jaccard, least(length(a.text), length(b.text))::double / greatest(length(a.text), length(b.text)) as length_ratio,
-           1 - levenshtein(a.source, b.source)::double / greatest(length(a.source), length(b.source)) as source_ratio,
-           cast(a.lang = b.lang as integer) as same_lang
-    from links join documents a on id1 = a.doc_id join documents b on id2 = b.doc_id where id1 <> id2)"""
+# from plain record pairs; pairs that look alike are counted together, named by the smallest ids that look so
+FEATURES_SQL = links_sql(0.5) + r"""
+    , records as (select doc_id, length(text) as n, source, lang, s.set_id,
+                         min(doc_id) over (partition by s.set_id, length(text), source, lang) as p
+                  from documents join sets s on s.tokens = list_sort(list_filter(list_distinct(
+                      regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+')), lambda x: x <> ''))),
+    record_pairs as (select least(a.p, b.p) as id1, greatest(a.p, b.p) as id2, jaccard,
+                            least(a.n, b.n)::double / greatest(a.n, b.n) as length_ratio,
+                            1 - levenshtein(a.source, b.source)::double / greatest(length(a.source), length(b.source)) as source_ratio,
+                            cast(a.lang = b.lang as integer) as same_lang
+                     from records a join records b on a.doc_id < b.doc_id
+                     join links l on l.id1 = least(a.set_id, b.set_id) and l.id2 = greatest(a.set_id, b.set_id)),
+    features as (select id1, id2, jaccard, length_ratio, source_ratio, same_lang, count(*) as n_pairs from record_pairs group by all)"""
 
 
 def features(t: Tables) -> DataFrame:
-    return entity.pair_features(links(t, 0.5), t.documents, "doc_id", "text", "source", "lang")
+    members = cut_lineage(simjoin.token_members(t.documents.select("doc_id", "text"), "doc_id", ["text"]))
+    owners = simjoin.set_membership(members, simjoin.token_sets(members))
+    profiles = cut_lineage(entity.record_profiles(owners, t.documents, "doc_id", "text", "source", "lang"))
+    return entity.pair_features(links(t, 0.5), profiles)
 
 
 @query("pair_features", FEATURES_SQL + """
-    select id1, id2, round(jaccard, 6) as jaccard, round(length_ratio, 6) as length_ratio, round(source_ratio, 6) as source_ratio, same_lang
+    select id1, id2, round(jaccard, 6) as jaccard, round(length_ratio, 6) as length_ratio, round(source_ratio, 6) as source_ratio, same_lang, n_pairs
     from features""")
 def pair_features(t: Tables) -> DataFrame:
     return features(t).withColumns({c: rounded(F.col(c)) for c in ("jaccard", "length_ratio", "source_ratio")})
 
 
 @query("seed_pairs", FEATURES_SQL + """
-    select id1, id2, cast(jaccard >= 0.8 as integer) as label
+    select id1, id2, n_pairs, cast(jaccard >= 0.8 as integer) as label
     from (select *, row_number() over (order by jaccard desc, id1, id2) as hi, row_number() over (order by jaccard, id1, id2) as lo from features)
     where hi <= 5 or lo <= 5""")
 def seed_pairs(t: Tables) -> DataFrame:
     pairs = cut_lineage(features(t))
-    return entity.seed_pairs(pairs, pairs.where(F.col("jaccard") >= 0.8), 5).select("id1", "id2", "label")
+    return entity.seed_pairs(pairs, pairs.where(F.col("jaccard") >= 0.8), 5).select("id1", "id2", "n_pairs", "label")
 
 
 @query("active_learning")
