@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import ratio
+from ..session import ensure_checkpoint_dir
 
 
 def parse_xy(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -34,7 +37,17 @@ def start_stream(
     df: DataFrame, sink: str = "console", mode: str = "complete", name: str | None = None,
     timeout: float | None = 600, once: bool = False, **options: str,
 ) -> StreamingQuery:
-    """Start a stream and wait for a bounded time; ``once`` works through what is there and ends."""
+    """Start a stream and wait for a bounded time; ``once`` works through what is there and ends.
+
+    State goes to ``checkpointLocation``, or else into the shared checkpoint folder, under the stream's name where it
+    writes to a lasting sink, so that a restart goes on from there.
+    """
+    if "checkpointLocation" not in options:
+        ensure_checkpoint_dir(df.sparkSession)
+        lasting = name and sink not in ("memory", "console", "noop")
+        shared = df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or shared
+        options["checkpointLocation"] = f"{root}/streams/{name if lasting else uuid.uuid4().hex}"
     writer = df.writeStream.format(sink).outputMode(mode).options(**options)
     if name:
         writer = writer.queryName(name)
