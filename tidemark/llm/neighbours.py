@@ -18,11 +18,11 @@ from .batches import stored
 MAX_TRAIN = 20_000
 BRANCHES = 8
 #: Rows that a leaf is meant to hold.
-LEAF = 100
+LEAF = 512
 #: Query vectors whose exact neighbours calibrate the number of leaves to visit, and the recall to reach.
 CALIBRATION = 96
 RECALL = 0.97
-#: Distinct vectors of a leaf compared in one group.
+#: Distinct vectors of a leaf compared in one group, and rows of one batch of routed queries.
 CHUNK = 4096
 
 
@@ -104,52 +104,69 @@ def grow(unit: np.ndarray, leaf_rows: float, seed: int = 1) -> Tree:
     return Tree(np.stack(centres), children, np.array(leaf))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """Rows of equally long float64 vectors held as bytes."""
+def matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of equally long vectors, held as bytes of ``width`` a component, in double precision."""
     if not len(column):
         return np.zeros((0, 0))
-    return np.stack([np.frombuffer(v, np.float64) for v in column.to_pylist()])
+    return np.stack([np.frombuffer(v, f"<f{width}") for v in column.to_pylist()]).astype(np.float64)
 
 
 def units(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def valid(vectors: DataFrame, keep: int) -> DataFrame:
-    """``v`` (distinct vector as bytes) and ``ids`` (its ``keep`` smallest ids, ascending).
+def component_bytes(vectors: DataFrame) -> int:
+    """Bytes that hold a component exactly."""
+    return 4 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else 8
 
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do null ids and
-    vectors of another length than the commonest. Copies are combined before and in the shuffle, hot ones over
-    salts, so each group meets a bounded list; further copies can be in no answer.
-    """
-    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).where("vec_id is not null and e is not null")
-    sizes = base.groupBy(F.size("e").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").first()
-    dim = sizes["n"] if sizes else 0
+
+def packed(vectors: DataFrame, dim: int) -> DataFrame:
+    """``vec_id`` and ``v``, the vector as bytes, of the rows that take part."""
+    width = component_bytes(vectors)
+    kind = "float" if width == 4 else "double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[bytes, list[int]] = {}
             lists = batch.column("e")
             sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten()
-            x = flat.to_numpy(zero_copy_only=False).astype(np.float64)
-            starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+            x = lists.flatten().to_numpy(zero_copy_only=False).astype(f"<f{width}")
             rows = np.flatnonzero(sizes == dim)
-            if not len(rows) or not dim:
+            if not len(rows):
                 continue
-            m = x[starts[rows][:, None] + np.arange(dim)[None, :]] + 0.0
+            m = x[(np.cumsum(sizes) - sizes)[rows][:, None] + np.arange(dim)[None, :]] + 0
             ok = np.isfinite(m).all(1)
-            with np.errstate(over="ignore"):
-                size = np.linalg.norm(np.where(ok[:, None], m, 0), axis=1)
+            with np.errstate(over="ignore", invalid="ignore"):
+                size = np.linalg.norm(m.astype(np.float64), axis=1)
             ok &= np.isfinite(size) & (size > 0)
-            ids = batch.column("vec_id").to_numpy()[rows]
-            for v, i in zip(m[ok], ids[ok].tolist()):
-                held.setdefault(v.tobytes(), []).append(i)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(rows[ok])), pa.array([r.tobytes() for r in m[ok]], pa.binary())], names=["vec_id", "v"])
+
+    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("e"))
+    return base.where((F.size("e") == dim) & (F.lit(dim) > 0) & F.col("vec_id").isNotNull()).mapInArrow(run, "vec_id long, v binary")
+
+
+def dimension(vectors: DataFrame) -> int:
+    """The commonest length of a vector."""
+    sizes = vectors.where("embedding is not null").groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("c"))
+    first = sizes.orderBy(F.desc("c"), "n").first()
+    return first["n"] if first else 0
+
+
+def combined(rows: DataFrame, keep: int) -> DataFrame:
+    """``v`` and ``ids``, its ``keep`` smallest ids ascending, for every distinct vector.
+
+    Copies are combined before and in the shuffle, hot ones over salts, so that each group meets a bounded list; the
+    further copies can be in no answer.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: dict[bytes, list[int]] = {}
+            for v, i in zip(batch.column("v").to_pylist(), batch.column("vec_id").to_pylist()):
+                held.setdefault(v, []).append(i)
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array([sorted(set(i))[:keep] for i in held.values()], pa.list_(pa.int64()))], names=["v", "ids"])
 
     least = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids")
-    parts = base.mapInArrow(run, "v binary, ids array<long>")
-    salted = parts.groupBy("v", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(32)).alias("s")).agg(least)
+    salted = rows.mapInArrow(run, "v binary, ids array<long>").groupBy("v", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(32)).alias("s")).agg(least)
     return salted.groupBy("v").agg(least)
 
 
@@ -159,17 +176,23 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, recall: float = RECA
     Score is the cosine in double precision on the original vectors, ties go to the smaller id, a query's own row is
     no candidate. The tree is fitted on at most ``MAX_TRAIN`` distinct vectors and every row is indexed. The
     number of leaves a query visits is the least at which the neighbours of ``CALIBRATION`` query vectors, found
-    by comparing them with all rows, are reached with ``recall``. What takes no part: see ``valid``.
+    by comparing them with all rows, are reached with ``recall``.
+
+    Vectors that are null, zero, or hold null or non-finite components take no part, nor do null ids and vectors
+    of another length than the commonest. Rows repeated under one id count once if their vectors are equal.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    index = stored(valid(vectors, k + 1))
+    dim, width = dimension(vectors), component_bytes(vectors)
+    index = stored(combined(packed(vectors, dim), k + 1))
     n = index.count()
     if not n:
         return spark.createDataFrame([], schema)
     share = min(1.0, MAX_TRAIN / n)
     train = index.where(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("v").toArrow()
-    unit = units(matrix(train.column("v").combine_chunks()) if train.num_rows else matrix(index.select("v").limit(1).toArrow().column("v").combine_chunks()))
+    if not train.num_rows:
+        train = index.select("v").limit(1).toArrow()
+    unit = units(matrix(train.column("v").combine_chunks(), width))
     order = np.lexsort(unit.T)
     tree = grow(unit[order], LEAF * len(unit) / n)
     held = spark.sparkContext.broadcast(tree)
@@ -177,24 +200,25 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, recall: float = RECA
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaf = held.value.assign(units(matrix(batch.column("v"))))
+                leaf = held.value.assign(units(matrix(batch.column("v"), width)))
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column("v"), batch.column("ids")], names=["leaf", "v", "ids"])
 
     placed = index.mapInArrow(place, "leaf long, v binary, ids array<long>")
     chunks = placed.groupBy("leaf").agg(F.count("*").alias("n")).select("leaf", F.ceil(F.col("n") / CHUNK).alias("chunks"))
     placed = stored(placed.join(chunks, "leaf").withColumn("chunk", F.pmod(F.xxhash64("v"), F.col("chunks"))))
 
-    ids = vectors.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("e")).where(F.pmod("query_id", F.lit(every)) == 0)
-    asked = stored(valid(ids.select(F.col("query_id").alias("vec_id"), F.col("e").alias("embedding")), 1).select("v", F.monotonically_increasing_id().alias("q")))
-    visits = calibrate(placed, asked, tree, k, recall)
+    own = stored(packed(vectors.where(F.pmod("vec_id", F.lit(every)) == 0), dim).distinct())
+    asked = stored(own.select("v").distinct().withColumn("q", F.monotonically_increasing_id()))
+    visits = calibrate(placed, asked, tree, k, recall, width)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            leaves = [held.value.visits(u, visits) for u in units(matrix(batch.column("v")))]
-            take = np.repeat(np.arange(batch.num_rows), [len(x) for x in leaves])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.array(x, np.int64) for x in leaves])), batch.column("q").take(pa.array(take)), batch.column("v").take(pa.array(take))], names=["leaf", "q", "qv"])
+        step = max(1, CHUNK // visits)
+        for whole in batches:
+            for a in range(0, whole.num_rows, step):
+                batch = whole.slice(a, step)
+                leaves = [held.value.visits(u, visits) for u in units(matrix(batch.column("v"), width))]
+                take = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in leaves]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.array(x, np.int64) for x in leaves])), batch.column("q").take(take), batch.column("v").take(take)], names=["leaf", "q", "qv"])
 
     routed = asked.mapInArrow(route, "leaf long, q long, qv binary")
     kept = placed.select("leaf", "chunks").distinct()
@@ -203,28 +227,17 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, recall: float = RECA
     def compare(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
             return pa.table({"q": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
-        return best(queries.column("q").to_numpy(), matrix(queries.column("qv").combine_chunks()), matrix(rows.column("v").combine_chunks()), rows.column("ids").combine_chunks(), k + 1)
+        return best(queries.column("q").to_numpy(), matrix(queries.column("qv").combine_chunks(), width), matrix(rows.column("v").combine_chunks(), width), rows.column("ids").combine_chunks(), k + 1)
 
     found = placed.groupBy("leaf", "chunk").cogroup(dealt.groupBy("leaf", "chunk")).applyInArrow(compare, "q long, score double, ids array<long>")
     pairs = found.select("q", F.explode(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i")))).alias("p"))
     least = F.slice(F.array_sort(F.collect_list("p")), 1, k + 1).alias("near")
     near = pairs.groupBy("q").agg(least)
-    own = ids.where("query_id is not null").select("query_id", vector_bytes("e").alias("v"))
-    answers = own.join(asked, "v").join(near, "q")
+    answers = own.withColumnRenamed("vec_id", "query_id").join(asked, "v").join(near, "q")
     listed = answers.select("query_id", F.posexplode(F.slice(F.filter("near", lambda p: p["i"] != F.col("query_id")), 1, k)))
     return listed.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("col.i").alias("vec_id"), (-F.col("col.s")).alias("score"))
 
 
-def vector_bytes(column: str):
-    """The bytes that ``valid`` holds for a vector."""
-
-    @F.pandas_udf("binary")
-    def pack(x):
-        return x.map(lambda e: None if e is None else (np.asarray(e, np.float64) + 0.0).tobytes())
-
-    return pack(F.col(column))
-
-
 def best(q: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: pa.Array, most: int) -> pa.Table:
     """For every query the ``most`` vectors of largest cosine, ties by their smallest id."""
     cosine = queries @ rows.T / (np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(rows, axis=1)[None, :])
@@ -240,19 +253,19 @@ def best(q: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: pa.Array, mo
     return pa.table({"q": pa.array(q[a]), "score": pa.array(cosine[a, b]), "ids": ids.take(pa.array(b))})
 
 
-def calibrate(placed: DataFrame, asked: DataFrame, tree: Tree, k: int, recall: float) -> int:
+def calibrate(placed: DataFrame, asked: DataFrame, tree: Tree, k: int, recall: float, width: int) -> int:
     """Leaves to visit so that ``recall`` of the exact neighbours of some query vectors are met."""
     some = asked.orderBy(F.xxhash64("v")).limit(CALIBRATION).toArrow()
     if not some.num_rows:
         return 1
-    queries = matrix(some.column("v").combine_chunks())
+    queries = matrix(some.column("v").combine_chunks(), width)
     sent = placed.sparkSession.sparkContext.broadcast(queries)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 own = sent.value
-                found = best(np.arange(len(own)), own, matrix(batch.column("v")), pa.array([[x] for x in batch.column("leaf").to_pylist()], pa.list_(pa.int64())), k + 1)
+                found = best(np.arange(len(own)), own, matrix(batch.column("v"), width), pa.array([[x] for x in batch.column("leaf").to_pylist()], pa.list_(pa.int64())), k + 1)
                 yield from found.select(["q", "score", "ids"]).combine_chunks().to_batches()
 
     top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("ids")[0].alias("leaf")))), 2, k).alias("near")
@@ -266,5 +279,3 @@ def calibrate(placed: DataFrame, asked: DataFrame, tree: Tree, k: int, recall: f
     ranks.sort()
     return ranks[min(len(ranks) - 1, ceil(recall * len(ranks)) - 1)] + 1
 
-
-__all__ = ["Tree", "grow", "search", "valid"]
