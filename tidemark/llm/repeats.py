@@ -27,7 +27,9 @@ _BYTES = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 SEGMENT = "key long, doc_id long, h int, start int, n int, body long, kind int"
 #: Bits of ``kind``: the content stands more than once, the row is done, it is to be looked into, and the key's
 #: string stands twice in the segment, so that a window may repeat within it.
-MANY, DONE, NEED, TWICE = 1, 2, 4, 8
+MANY, DONE, NEED, TWICE, HOT = 1, 2, 4, 8, 16
+#: Segments under one key from which on they no longer meet in one task.
+HOT_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -167,19 +169,20 @@ def later(key: np.ndarray, body: np.ndarray, doc: np.ndarray, start: np.ndarray)
     return np.flatnonzero((doc != doc[head]) | (start != start[head]))
 
 
-def meet(cut_segments: DataFrame, plan: Plan) -> DataFrame:
-    """Segments under their keys: what is done, and of each content under a key with several one row to look into."""
+def meet(cut_segments: DataFrame, plan: Plan, hot: bool = False) -> DataFrame:
+    """Segments under their keys: what is done, and of each content under a key with several one row to look into.
+
+    ``hot`` keys are dealt by content too, so no task gets all of one, and every content is to be looked into.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, passed = [], 0
+        held = []
         for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            done = (kinds & DONE) > 0
+            done = (batch.column("kind").to_numpy() & DONE) > 0
             if done.any():
                 yield batch.filter(pa.array(done))
             if not done.all():
                 held.append(batch.filter(pa.array(~done)))
-            passed += batch.num_rows
         if not held:
             return
         t = pa.Table.from_batches(held)
@@ -204,12 +207,50 @@ def meet(cut_segments: DataFrame, plan: Plan) -> DataFrame:
         if plan.every:  # contents that stand more than once are done; the others may hold windows of theirs
             mixed &= np.bincount(of_key[head], weights=~many) > 0
             twice &= ~many
-        need = head[mixed[of_key[head]] | twice]
+        asked = np.full(len(head), True) if hot else mixed[of_key[head]] | twice
+        need = head[asked]
         if len(need):
-            flags = NEED | np.where(many[mixed[of_key[head]] | twice], MANY, 0)
+            flags = (HOT if hot else NEED) | np.where(many[asked], MANY, 0)
             yield table_of(key[need], doc[need], h[need], start[need], n[need], body[need], flags)
 
-    return cut_segments.repartition("key").mapInArrow(run, SEGMENT)
+    return cut_segments.repartition(*(("key", "body") if hot else ("key",))).mapInArrow(run, SEGMENT)
+
+
+def gathered(segs: DataFrame, plan: Plan) -> DataFrame:
+    """``meet`` for all keys, those of more than ``HOT_ROWS`` segments in the way of hot ones."""
+    rows = segs.where(F.col("kind").bitwiseAND(F.lit(DONE)) == 0).groupBy("key").agg(F.count("*").alias("_n"))
+    hot = stored(rows.where(F.col("_n") > HOT_ROWS).select("key", F.lit(True).alias("_hot")))
+    if hot.isEmpty():
+        return meet(segs, plan)
+    marked = segs.join(hot, "key", "left")
+    cold = marked.where("_hot is null").drop("_hot")
+    return meet(cold, plan).unionByName(meet(marked.where("_hot").drop("_hot"), plan, hot=True))
+
+
+def hot_windows(fetched: DataFrame, plan: Plan) -> DataFrame:
+    """Repeated windows of hot keys' contents, told by 128 bits of hash, since their texts cannot meet in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "content", 1 << 17):
+            symbols, first = plan.symbols(*utf8(batch.column("content")))
+            n = batch.column("n").to_numpy()
+            at = np.repeat(first[:-1], n) + (within := np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            take = np.repeat(np.arange(len(n)), n)
+            one, two = (gram_hashes(mix(symbols ^ U64(salt)), plan.width)[at].view(np.int64) for salt in (1, 2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one), pa.array(two), batch.column("doc_id").take(pa.array(take)), batch.column("h").take(pa.array(take)), pa.array((batch.column("start").to_numpy()[take] + within).astype(np.int32)), batch.column("kind").take(pa.array(take))],
+                names=["w1", "w2", "doc_id", "h", "start", "kind"],
+            )
+
+    rows = fetched.dropDuplicates(["key", "doc_id", "h", "start"]).mapInArrow(run, "w1 long, w2 long, doc_id long, h int, start int, kind int")
+    many = F.col("kind").bitwiseAND(F.lit(MANY)) > 0
+    if plan.every:
+        again = rows.groupBy("w1", "w2").agg(F.sum(F.when(many, 2).otherwise(1)).alias("_n")).where("_n > 1")
+        found = rows.where(~many).join(again, ["w1", "w2"])
+    else:
+        least = rows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "start")).alias("_least"), F.count("*").alias("_n")).where("_n > 1")
+        found = rows.join(least, ["w1", "w2"]).where(F.struct("doc_id", "start") > F.col("_least"))
+    return found.select("doc_id", "h", "start", F.lit(1).alias("n"))
 
 
 def fetch(docs: DataFrame, need: DataFrame, piece: Callable[[str, list], list[bytes]]) -> DataFrame:
@@ -274,9 +315,12 @@ def by_key(fetched: DataFrame, resolve: Callable[[pa.Table], Iterator[pa.RecordB
 
 def spans_of(docs: DataFrame, plan: Plan, piece, resolve) -> DataFrame:
     """``doc_id``, ``h`` and ``spans``: all runs of repeated windows of each text that has any."""
-    found = stored(meet(cut(docs, plan), plan))
+    found = stored(gathered(stored(cut(docs, plan)), plan))
     need = found.where(F.col("kind").bitwiseAND(F.lit(NEED)) > 0)
     looked = by_key(fetch(docs, need, piece), resolve)
+    hot = found.where(F.col("kind").bitwiseAND(F.lit(HOT)) > 0)
+    if not hot.isEmpty():
+        looked = looked.unionByName(hot_windows(fetch(docs, hot, piece), plan))
     done = found.where(F.col("kind").bitwiseAND(F.lit(DONE)) > 0).select("doc_id", "h", "start", "n")
     return done.unionByName(looked).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
