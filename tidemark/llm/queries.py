@@ -40,7 +40,19 @@ _WORDS = (
 )
 
 
-@query("op1_substrings")
+@query(
+    "op1_substrings",
+    r"""
+with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+windows as (select doc_id, i, array_to_string(w[i : i + 19], ' ') as s from d, unnest(range(1, len(w) - 18)) t(i)),
+repeats as (select doc_id, i from (select doc_id, i, row_number() over (partition by s order by doc_id, i) as k from windows) where k > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as i from repeats),
+kept as (from (select doc_id, i, w[i] as word from d, unnest(range(1, len(w) + 1)) t(i)) anti join gone using (doc_id, i)),
+texts as (select doc_id, count(*) as n, string_agg(word, ' ' order by i) as text from kept group by doc_id)
+select doc_id, len(w)::bigint as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t.text, '')) as kept_sha256
+from d left join texts t using (doc_id)
+""",
+)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove(table(spark, folder, "documents")).drop("kept")
 
@@ -88,7 +100,17 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
-@query("op7_extraction")
+#: On the given pages: what stands in the article element, cut at its headings and paragraphs.
+@query(
+    "op7_extraction",
+    r"""
+with a as (select page_id, url, string_split_regex(replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '<br>', ' '), '</?(?:p|h1)>') as parts from pages),
+plain as (select page_id, url, list_transform(parts, lambda x: replace(replace(replace(replace(replace(
+    regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&')) as parts from a),
+lines as (select page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text from plain)
+select page_id, url, text, length(text) as n_chars from lines
+""",
+)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(table(spark, folder, "pages"))
 
