@@ -19,8 +19,9 @@ from .batches import U64, by_bytes, stored, utf8
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-#: Fingerprints in a tile.
+#: Fingerprints in a tile, and hashes whose bits are spread out at once.
 TILE = 1024
+ROWS = 1 << 15
 #: Fewest bits by which fingerprints are brought together; more as their number grows.
 LEAST_BLOCKS = RADIUS + 2
 
@@ -36,8 +37,8 @@ def fingerprint(text: bytes) -> int:
     ends = np.cumsum([len(x) + 1 for x in w]).tolist()
     digest = xxhash.xxh64_intdigest
     h = [digest(line[a : b - 1], SEED) for a, b in zip([0, *ends], ends[SHINGLE - 1 :])]
-    bits = np.unpackbits(np.array(h, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = bits.sum(0, dtype=np.int64)
+    octets = np.array(h, "<u8").view(np.uint8).reshape(-1, 8)
+    ones = sum(np.unpackbits(octets[a : a + ROWS], axis=1, bitorder="little").sum(0, dtype=np.int64) for a in range(0, len(h), ROWS))
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
