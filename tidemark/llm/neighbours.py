@@ -17,8 +17,9 @@ from .batches import stored
 #: Most distinct vectors that the tree is fitted on, chosen by a hash; all rows are indexed.
 MAX_TRAIN = 20_000
 BRANCHES = 8
-#: Rows that a leaf is meant to hold.
-LEAF = 512
+#: Rows that a leaf is meant to hold: this many times the root of all rows, so that leaves, and the visits
+#: of a query, grow with the root too; and at least so many.
+LEAF_FACTOR, LEAST_LEAF = 4, 256
 #: Query vectors whose exact neighbours calibrate the number of leaves to visit, and the recall to reach.
 CALIBRATION = 96
 RECALL = 0.97
@@ -194,7 +195,7 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, recall: float = RECA
         train = index.select("v").limit(1).toArrow()
     unit = units(matrix(train.column("v").combine_chunks(), width))
     order = np.lexsort(unit.T)
-    tree = grow(unit[order], LEAF * len(unit) / n)
+    tree = grow(unit[order], max(LEAST_LEAF, LEAF_FACTOR * n**0.5) * len(unit) / n)
     held = spark.sparkContext.broadcast(tree)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
