@@ -139,3 +139,24 @@ def test_segments_cover_each_window_once():
         key, text, start, n, _, _ = repeats.segments(repeats.mix(h), first, 20, 5)
         seen = sorted((t, s + i) for t, s, k in zip(text, start, n) for i in range(k))
         assert seen == [(t, i) for t in range(len(first) - 1) for i in range(first[t + 1] - first[t] - 19)]
+
+
+@pytest.mark.parametrize("rows_per_key", [1, 3])
+def test_hot_keys_brute(make, monkeypatch, rows_per_key):  # noqa: F811
+    monkeypatch.setattr(repeats, "HOT_ROWS", rows_per_key)
+    rng = random.Random(11)
+    common = [f"p{i}" for i in range(60)]
+    rows = corpus(5) + [(1000 + d, " ".join([f"x{rng.randrange(50)}" for _ in range(rng.randrange(40))] + common + [f"y{rng.randrange(3)}" for _ in range(30)])) for d in range(30)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substrings.remove(make(*rows).repartition(5)).collect()}
+    assert got == slow_words(rows)
+    found = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.remove(make(*rows).repartition(5)).collect())
+    assert found == slow_bytes(rows)
+
+
+def test_dense_and_sparse_arrays_agree(monkeypatch):
+    rng = random.Random(12)
+    cases = [["".join(rng.choice("ab") for _ in range(rng.randrange(1, 60))).encode() for _ in range(4)] for _ in range(30)]
+    cases.append([b"ab" * 300, b"x" + b"ab" * 40 + b"y", b"z"])
+    want = [suffixes.windows(c, 5) for c in cases]
+    monkeypatch.setattr(suffixes, "TAIL_BYTES", 0)
+    assert [suffixes.windows(c, 5) for c in cases] == want

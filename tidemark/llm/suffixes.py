@@ -17,6 +17,8 @@ GRAM = 32
 PLAN = repeats.Plan(WIDTH, GRAM, repeats.byte_symbols, every=True)
 #: Bytes of segments in one enhanced suffix array; whole keys only, so one key's segments may be more.
 ARRAY_BYTES = 1 << 20
+#: Bytes of suffixes held at once for the sparse array.
+TAIL_BYTES = 1 << 26
 
 
 def enhanced(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,21 +91,80 @@ def pieces(text: str, parts: list) -> list[bytes]:
 
 def windows(strings: list[bytes], width: int) -> list[list[tuple[int, int]]]:
     """For each string the runs of windows that lie in a maximal repeat of all strings together."""
-    sizes = np.array([len(s) + 1 for s in strings])
+    sizes = np.array([len(s) for s in strings])
     begin = np.cumsum(sizes) - sizes
-    text = np.full(sizes.sum(), -1, np.int64)
-    for s, a in zip(strings, begin.tolist()):
-        text[a : a + len(s)] = np.frombuffer(s, np.uint8)
-    marks = text < 0
-    order, common = enhanced(np.where(marks, 256 + np.cumsum(marks), text))
-    before = np.where(order > 0, text[order - 1], -1)
-    before = np.where(before < 0, -2 - order, before)  # the start of a string is like no other symbol
-    edge = np.zeros(len(text) + 1, np.int64)
-    for length, places in maximal_repeats(order, common, before, width):
-        np.add.at(edge, places, 1)
-        np.add.at(edge, places + length - width + 1, -1)
+    n = np.maximum(0, sizes - width + 1)
+    raw = b"".join(strings)
+    places, end, before = left_diverse(raw, begin, n, sizes, width)
+    edge = np.zeros(len(raw) + 1, np.int64)
+    if len(places):
+        if int((end - places).sum()) <= TAIL_BYTES:
+            found = sparse(raw, places, end, before)
+        else:
+            found = dense(strings, begin)
+        for length, at in maximal_repeats(*found, width):
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + length - width + 1, -1)
     starts = np.cumsum(edge[:-1]) > 0
-    return [runs(starts[a : a + n]) for a, n in zip(begin.tolist(), (sizes - 1).tolist())]
+    return [runs(starts[a : a + k]) for a, k in zip(begin.tolist(), n.tolist())]
+
+
+def left_diverse(raw: bytes, begin: np.ndarray, n: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places whose window stands elsewhere with another symbol before it, the ends of their strings, and
+    that symbol.
+
+    A window that has the same symbol before it everywhere is inside a repeat that starts further left, so every place
+    of every maximal repeat is among these. Windows are brought together by their hashes; the arrays compare the bytes.
+    """
+    code = np.frombuffer(raw, np.uint8)
+    string = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n) + begin[string]
+    if len(at) < 2:
+        return at[:0], at[:0], at[:0]
+    hashed = repeats.gram_hashes(repeats.byte_symbols(code, begin)[0], width)[at]
+    order = np.argsort(hashed)
+    hashed = hashed[order]
+    head = np.flatnonzero(np.concatenate([[True], hashed[1:] != hashed[:-1]]))
+    size = np.diff(np.append(head, len(order)))
+    before = code[at - 1].astype(np.int64)
+    first = at == begin[string]
+    before[first] = -2 - at[first]  # the start of a string is like no other symbol
+    before = before[order]
+    diverse = np.logical_or.reduceat(before != np.repeat(before[head], size), head)
+    chosen = np.repeat(diverse, size)
+    rows = order[chosen]
+    return at[rows], begin[string[rows]] + sizes[string[rows]], before[chosen]
+
+
+def sparse(raw: bytes, places: np.ndarray, end: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Enhanced suffix array of the suffixes at ``places``, each up to its ``end``."""
+    tails = [raw[a:b] for a, b in zip(places.tolist(), end.tolist())]
+    order = sorted(range(len(tails)), key=tails.__getitem__)
+    common = [0, *(common_prefix(tails[a], tails[b]) for a, b in zip(order, order[1:]))]
+    return places[order], np.array(common), before[order]
+
+
+def common_prefix(a: bytes, b: bytes) -> int:
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def dense(strings: list[bytes], begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Enhanced suffix array of all suffixes, for strings with long periods; places as in the strings laid end to end."""
+    marked = np.concatenate([np.append(np.frombuffer(s, np.uint8).astype(np.int64), 256 + i) for i, s in enumerate(strings)])
+    order, common = enhanced(marked)
+    is_mark = marked >= 256
+    before = np.where(order > 0, np.where(is_mark[order - 1], -2 - order, marked[order - 1]), -2 - order)
+    shift = np.cumsum(is_mark) - is_mark
+    return order - shift[order], common, before
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
