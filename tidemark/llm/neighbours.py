@@ -23,7 +23,8 @@ LEAF_FACTOR, LEAST_LEAF = 4, 256
 #: Query vectors whose exact neighbours calibrate the number of leaves to visit, and the recall to reach.
 CALIBRATION = 96
 RECALL = 0.97
-#: Distinct vectors of a leaf compared in one group, and rows of one batch of routed queries.
+#: Distinct vectors compared in one group, leaves next to each other in the tree together, and rows of one batch
+#: of routed queries.
 CHUNK = 4096
 
 
@@ -204,33 +205,65 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, recall: float = RECA
                 leaf = held.value.assign(units(matrix(batch.column("v"), width)))
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column("v"), batch.column("ids")], names=["leaf", "v", "ids"])
 
-    placed = index.mapInArrow(place, "leaf long, v binary, ids array<long>")
-    chunks = placed.groupBy("leaf").agg(F.count("*").alias("n")).select("leaf", F.ceil(F.col("n") / CHUNK).alias("chunks"))
-    placed = stored(placed.join(chunks, "leaf").withColumn("chunk", F.pmod(F.xxhash64("v"), F.col("chunks"))))
+    placed = stored(index.mapInArrow(place, "leaf long, v binary, ids array<long>"))
+    size = np.zeros(tree.leaves, np.int64)
+    for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect():  # a row a leaf, fewer than MAX_TRAIN
+        size[r["leaf"]] = r["n"]
+    block = (np.cumsum(size) - size) // CHUNK
+    chunks = -(-np.bincount(block, weights=size).astype(np.int64) // CHUNK).clip(1)
+    blocks = spark.createDataFrame([(i, int(b), int(chunks[b])) for i, b in enumerate(block)], "leaf long, block long, chunks long")
+    dealt_rows = placed.join(F.broadcast(blocks), "leaf").withColumn("chunk", F.pmod(F.xxhash64("v"), F.col("chunks")))
 
     own = stored(packed(vectors.where(F.pmod("vec_id", F.lit(every)) == 0), dim).distinct())
     asked = stored(own.select("v").distinct().withColumn("q", F.monotonically_increasing_id()))
     visits = calibrate(placed, asked, tree, k, recall, width)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, CHUNK // visits)
         for whole in batches:
-            for a in range(0, whole.num_rows, step):
-                batch = whole.slice(a, step)
-                leaves = [held.value.visits(u, visits) for u in units(matrix(batch.column("v"), width))]
-                take = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in leaves]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.array(x, np.int64) for x in leaves])), batch.column("q").take(take), batch.column("v").take(take)], names=["leaf", "q", "qv"])
-
-    routed = asked.mapInArrow(route, "leaf long, q long, qv binary")
-    kept = placed.select("leaf", "chunks").distinct()
-    dealt = routed.join(kept, "leaf").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select("leaf", "chunk", "q", "qv")
+            for a in range(0, whole.num_rows, 64):
+                batch = whole.slice(a, 64)
+                take, at, leaves = [], [], []
+                for i, u in enumerate(units(matrix(batch.column("v"), width))):
+                    seen = np.sort(held.value.visits(u, visits))
+                    for b in np.unique(block[seen]):
+                        take.append(i)
+                        at.append(int(b))
+                        leaves.append(seen[block[seen] == b].tolist())
+                q, v = batch.column("q").take(pa.array(take)), batch.column("v").take(pa.array(take))
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), q, v, pa.array(leaves, pa.list_(pa.int64()))], names=["block", "q", "qv", "leaves"])
+
+    routed = asked.mapInArrow(route, "block long, q long, qv binary, leaves array<long>")
+    split = blocks.select("block", "chunks").distinct()
+    dealt = routed.join(F.broadcast(split), "block").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
 
     def compare(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        """Each leaf's rows with the queries that visit it; of a query only the best in the group go on."""
+        none = pa.table({"q": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
         if not rows.num_rows or not queries.num_rows:
-            return pa.table({"q": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
-        return best(queries.column("q").to_numpy(), matrix(queries.column("qv").combine_chunks(), width), matrix(rows.column("v").combine_chunks(), width), rows.column("ids").combine_chunks(), k + 1)
-
-    found = placed.groupBy("leaf", "chunk").cogroup(dealt.groupBy("leaf", "chunk")).applyInArrow(compare, "q long, score double, ids array<long>")
+            return none
+        q, x = queries.column("q").to_numpy(), matrix(queries.column("qv").combine_chunks(), width)
+        y, ids = matrix(rows.column("v").combine_chunks(), width), rows.column("ids").combine_chunks()
+        leaf = rows.column("leaf").to_numpy()
+        asking: dict[int, list[int]] = {}
+        for i, own in enumerate(queries.column("leaves").to_pylist()):
+            for one in own:
+                asking.setdefault(one, []).append(i)
+        parts = []
+        for one, who in asking.items():
+            at = np.flatnonzero(leaf == one)
+            if len(at):
+                parts.append(best(q[who], x[who], y[at], ids.take(pa.array(at)), k + 1))
+        if not parts:
+            return none
+        t = pa.concat_tables(parts).combine_chunks()
+        first = np.array([i[0] for i in t.column("ids").to_pylist()])
+        order = np.lexsort((first, -t.column("score").to_numpy(), t.column("q").to_numpy()))
+        owner = t.column("q").to_numpy()[order]
+        head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        rank = np.arange(len(owner)) - np.repeat(head, np.diff(np.append(head, len(owner))))
+        return t.take(pa.array(order[rank <= k]))
+
+    found = dealt_rows.groupBy("block", "chunk").cogroup(dealt.groupBy("block", "chunk")).applyInArrow(compare, "q long, score double, ids array<long>")
     pairs = found.select("q", F.explode(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i")))).alias("p"))
     least = F.slice(F.array_sort(F.collect_list("p")), 1, k + 1).alias("near")
     near = pairs.groupBy("q").agg(least)
