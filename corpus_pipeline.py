@@ -31,15 +31,18 @@ def keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known language; those without a letter or of unsure language go."""
+    """Documents with a known language; those without a letter or of unsure language go. Ids play no part."""
     model = language.fit(docs.where(F.coalesce(crc_rest("doc_id", 3) != 1, F.lit(True))))
-    found = language.identify(docs, model)
-    return keep(docs, found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_POSTERIOR)), "left_semi")
+    return language.keep_known(docs, model, LEAST_POSTERIOR)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near-duplicates."""
-    return keep(docs, simhash.near_duplicates(docs).where("doc_id = component_id"), "left_semi")
+    """The document of smallest id of each group of near-duplicates.
+
+    Rows repeated under one id stay or go together; rows with a null id are in no group and stay.
+    """
+    kept = keep(docs, simhash.near_duplicates(docs).where("doc_id = component_id"), "left_semi")
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,15 @@ def test_stages_on_odd_rows(spark, make, k):  # noqa: F811
         out = stage(spark, rows, SMALL)
         assert k == 4 or out.columns == rows.columns
         assert out.count() >= 0, name
+
+
+def test_rows_without_an_id_stay(spark, make):  # noqa: F811
+    words = "the quick brown fox jumps over the lazy dog and runs away "
+    rows = make((None, words * 3), (None, words * 3), (1, words * 3), (2, words * 3), (3, None))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    wide = docs.unionByName(rows.select(docs.columns))
+    kept = corpus_pipeline.language_id(spark, wide, SMALL)
+    assert kept.where("doc_id is null").count() == 2
+    first = corpus_pipeline.near_duplicates(spark, rows, SMALL)
+    assert sorted(str(r["doc_id"]) for r in first.collect()) == ["1", "3", "None", "None"]
+    assert corpus_pipeline.decontaminate(spark, rows, SMALL).count() == 5

@@ -140,3 +140,15 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(lang, pa.string()), pa.array(sure, pa.float64())], names=[key, "lang_pred", "score"])
 
     return docs.select(key, "text").mapInArrow(run, f"{key} {kind.simpleString()}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is known with a posterior of ``least`` or more."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text"):
+            lang, sure = score(held.value, batch.column(batch.schema.get_field_index("text")).to_pylist())
+            yield batch.filter(pa.array([x != UNKNOWN and p >= least for x, p in zip(lang, sure)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
