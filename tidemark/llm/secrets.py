@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import by_bytes
+from .batches import by_bytes, stored
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -213,7 +213,7 @@ def fit(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_examples: int = MAX
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["kind", "value"])
 
-    found = sample.mapInArrow(gather, "kind string, value string").distinct()
+    found = stored(sample.mapInArrow(gather, "kind string, value string").distinct())
     values = {k: [r[0] for r in found.where(F.col("kind") == k).select("value").orderBy(F.md5("value"), "value").limit(max_examples).collect()] for k in (*KINDS, "word")}
     kinds = {k: infer([v.translate(_TO_CLASS) for v in values[k]]) for k in KINDS if values[k]}
     return Formats(kinds, bigrams(values["word"]))
