@@ -28,6 +28,8 @@ SEGMENT = "key long, doc_id long, h int, start int, n int, body long, kind int"
 #: Bits of ``kind``: the content stands more than once, the row is done, it is to be looked into, and the key's
 #: string stands twice in the segment, so that a window may repeat within it.
 MANY, DONE, NEED, TWICE, HOT = 1, 2, 4, 8, 16
+#: Bytes of text whose symbols are hashed at once; each takes up to a hundred bytes meanwhile.
+PART_BYTES = 1 << 19
 #: Segments under one key from which on they no longer meet in one task.
 HOT_ROWS = 50_000
 
@@ -135,7 +137,7 @@ def cut(docs: DataFrame, plan: Plan) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
-            for part in by_bytes(iter([batch]), "text"):
+            for part in by_bytes(iter([batch]), "text", PART_BYTES):
                 h, first = plan.symbols(*utf8(part.column("text")))
                 key, text, start, n, digest, twice = segments(h, first, plan.width, plan.gram)
                 held.append((key.view(np.int64), part.column("doc_id").to_numpy()[text], part.column("h").to_numpy()[text], start, n, digest.view(np.int64), twice))
