@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -282,6 +282,17 @@ def test_packing_islands(docs, tok):
     assert n <= total / 2048 * 1.03 + 2
 
 
+@pytest.mark.parametrize("short", [0, 30])
+def test_packing_ends_where_bins_cannot_be_filled(spark, short):
+    rows = [(i, 0, 1100) for i in range(200)] + [(200 + i, 0, 948) for i in range(short)]
+    got = packing.group(spark.createDataFrame(rows, "doc_id long, piece int, length long"), island=40).collect()
+    assert sorted((r["doc_id"], r["piece"], r["length"]) for r in got) == rows
+    fill = Counter()
+    for r in got:
+        fill[r["level"], r["island"], r["bin"]] += r["length"]
+    assert max(fill.values()) <= 2048 and len(fill) == 200
+
+
 def test_packing_odd_rows(make, tok):
     rows = packing.pack(make(*ODD), tokenizer_paths()).collect()
     assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1 and sum(r["piece"] == 0 for r in rows if r["doc_id"] == 5) == 2

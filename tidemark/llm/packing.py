@@ -23,6 +23,8 @@ GENERATIONS = 4
 POPULATION = 4
 #: Share of a bin that must be full for it to be handed on.
 WELL_FILLED = 0.995
+#: Share of the items that a level must finish for another to follow, so levels grow with the logarithm of the items.
+LEAST_PROGRESS = 0.1
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -220,7 +222,8 @@ def group(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND, epoc
 
     Items are dealt over islands of about ``island`` by a hash. Every epoch each island takes the well-filled
     bins of its neighbour, as patterns of lengths, into its population. At the end the items of bins that are not
-    well filled leave for fewer islands and are grouped anew, until one island holds the rest.
+    well filled leave for fewer islands and are grouped anew, until one island holds the rest or a level finishes
+    too few: items of which hardly any fill a bin together stay in the bins they are in.
     """
     n = items.count()
     done, level = None, 0
@@ -235,10 +238,14 @@ def group(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND, epoc
             break
         fill = F.sum("length").over(Window.partitionBy("island", "bin"))
         rows = rows.withColumn("fill", fill)
+        rest = stored(rows.where(F.col("fill") < WELL_FILLED * capacity).select("doc_id", "piece", "length"))
+        before, n = n, rest.count()
+        if n > (1 - LEAST_PROGRESS) * before:
+            rows = rows.drop("fill")
+            break
         good = rows.where(F.col("fill") >= WELL_FILLED * capacity).drop("fill")
         done = good if done is None else done.unionByName(good)
-        rest = stored(rows.where(F.col("fill") < WELL_FILLED * capacity).select("doc_id", "piece", "length"))
-        n, level = rest.count(), level + 1
+        level += 1
     return rows if done is None else done.unionByName(rows)
 
 
