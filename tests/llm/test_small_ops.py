@@ -359,6 +359,15 @@ def test_secrets_learnt_formats():
     assert secrets.redact(f"x {token} y {hexes[0]}!", formats) == "x [SECRET] y [SECRET]!"
 
 
+def test_secrets_fit_finds_a_rare_kind(make):
+    keys = [f"AKIAXYZXYZXYZX{i:04d}" for i in range(5)]
+    rows = make(*((i, f"plain words number {i}") for i in range(400)), *((400 + i, f"a {k} b") for i, k in enumerate(keys)))
+    formats = secrets.fit(rows, max_docs=1, max_examples=3)
+    assert list(formats.kinds) == ["access"]
+    best = sorted(keys, key=lambda k: hashlib.md5(k.encode()).digest())[:3]
+    assert formats.kinds["access"] == secrets.infer([k.translate(secrets._TO_CLASS) for k in best])
+
+
 def test_secrets_odd_rows(make):
     got = secrets.scan(make(*ODD), secrets.fit(make(*ODD))).collect()
     assert len(got) == len(ODD) and all(r["spans"] == "" and r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in got)

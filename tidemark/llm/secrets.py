@@ -25,7 +25,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 #: What may be a credential: a run of its characters that holds a digit.
 CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_.=-]{16})[A-Za-z+/_.=-]*[0-9][A-Za-z0-9+/_.=-]*")
 
-#: Most labelled credentials a kind's automaton is inferred from, and most documents they are gathered from.
+#: Most labelled credentials a kind's automaton is inferred from, and most documents ordinary words are gathered from.
 MAX_EXAMPLES = 2_000
 MAX_TRAIN_DOCS = 20_000
 #: Confidence of the compatibility test of two states.
@@ -189,31 +189,37 @@ WORD = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 
 
 def fit(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_examples: int = MAX_EXAMPLES) -> Formats:
-    """Formats from the credentials that the fixed patterns label in a bounded sample.
+    """Formats from the credentials that the fixed patterns label in all documents.
 
-    About ``max_docs`` documents are chosen by a hash of their text among those that hold a match, and at most
-    ``max_examples`` distinct values a kind, those of smallest hash, reach the driver; the scan itself is over all.
+    At most ``max_examples`` distinct values a kind, those of smallest hash, leave a task and reach the driver, so a
+    rare kind is learnt from all that there is of it. Ordinary words come from about ``max_docs`` documents chosen by
+    a hash of their text.
     """
     texts = docs.select("text").where("text is not null")
     total = texts.count()
     share = min(1.0, max_docs / max(1, total))
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    marked = texts.withColumn("sampled", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+    def least(values: set[str]) -> list[str]:
+        return sorted(values, key=lambda v: hashlib.md5(v.encode()).digest())[:max_examples]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, set[str]] = {k: set() for k in (*KINDS, "word")}
         for batch in by_bytes(batches, "text"):
-            for text in batch.column("text").to_pylist():
+            for text, sampled in zip(batch.column("text").to_pylist(), batch.column("sampled").to_pylist()):
                 values = credentials(text)
                 for kind, value in values:
                     found[kind].add(value)
-                if len(found["word"]) < max_examples:
+                    if len(found[kind]) > 4 * max_examples:
+                        found[kind] = set(least(found[kind]))
+                if sampled and len(found["word"]) < max_examples:
                     secret = {v for _, v in values}
                     found["word"].update(w for w in WORD.findall(text) if w not in secret and not any(s in w for s in secret))
-        rows = [(k, v) for k, vs in found.items() for v in sorted(vs, key=lambda v: hashlib.md5(v.encode()).digest())[:max_examples]]
+        rows = [(k, v) for k, vs in found.items() for v in least(vs)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["kind", "value"])
 
-    found = stored(sample.mapInArrow(gather, "kind string, value string").distinct())
+    found = stored(marked.mapInArrow(gather, "kind string, value string").distinct())
     values = {k: [r[0] for r in found.where(F.col("kind") == k).select("value").orderBy(F.md5("value"), "value").limit(max_examples).collect()] for k in (*KINDS, "word")}
     kinds = {k: infer([v.translate(_TO_CLASS) for v in values[k]]) for k in KINDS if values[k]}
     return Formats(kinds, bigrams(values["word"]))
