@@ -359,6 +359,22 @@ def test_secrets_learnt_formats():
     assert secrets.redact(f"x {token} y {hexes[0]}!", formats) == "x [SECRET] y [SECRET]!"
 
 
+def test_secrets_candidates_are_whole_runs():
+    rng = random.Random(7)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    upper = "GHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz"
+    plain = [some(upper, rng.randrange(12, 16)) for _ in range(400)]
+    mixed = [f"{some(upper, 3)}-{some('0123456789abcdef', 16)}-{some(upper, 6)}" for _ in range(400)]
+    words = ["".join(rng.choice(["th", "er", "on", "an", "re"]) for _ in range(rng.randrange(4, 12))) for _ in range(500)]
+    formats = secrets.Formats({"assign": secrets.infer([v.translate(secrets._TO_CLASS) for v in plain + mixed])}, secrets.bigrams(words))
+    short, token = "KqZwRtYpLmGh", "KqZ-04dbebab91ab8568-ZpQrTw"
+    text = f"see {short} and {token} or thereonthereonanthere"
+    base = secrets.base_spans(text)
+    assert [text[a:b] for a, _, b in base] == ["04dbebab91ab8568"]
+    assert [text[a:b] for a, _, b in secrets.learnt_spans(formats, text, base)] == [short, token]
+    assert secrets.redact(text, formats) == "see [SECRET] and [SECRET] or thereonthereonanthere"
+
+
 def test_secrets_fit_finds_a_rare_kind(make):
     keys = [f"AKIAXYZXYZXYZX{i:04d}" for i in range(5)]
     rows = make(*((i, f"plain words number {i}") for i in range(400)), *((400 + i, f"a {k} b") for i, k in enumerate(keys)))

@@ -22,8 +22,8 @@ ASSIGN_LEAST = 12
 #: Maximal runs, so their least lengths of 18 and 16 can stand in the patterns.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: What may be a credential: a run of its characters that holds a digit.
-CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_.=-]{16})[A-Za-z+/_.=-]*[0-9][A-Za-z0-9+/_.=-]*")
+#: What may be a credential: a maximal run of its characters, from the least length of a labelled one on.
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{ASSIGN_LEAST},}}")
 
 #: Most labelled credentials a kind's automaton is inferred from, and most documents ordinary words are gathered from.
 MAX_EXAMPLES = 2_000
@@ -226,13 +226,16 @@ def fit(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_examples: int = MAX
 
 
 def learnt_spans(formats: Formats, text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
-    """Candidates outside the base matches that are likelier in a credential's format than as a word."""
+    """Candidates that no base match covers and that are likelier in a credential's format than as a word.
+
+    One that reaches beyond a base match is rated as a whole, and both count.
+    """
     if not formats.kinds:
         return []
     out = []
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if any(s < b and e > a for s, _, e in base):
+        if any(s <= a and b <= e for s, _, e in base):
             continue
         ratio, _ = formats.rate(m.group())
         if ratio >= LEAST_RATIO:
