@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, extraction, language, neighbours, packing, secrets, simhash, substrings, suffixes, toxicity
+from . import contamination, extraction, language, neighbours, packing, secrets, simhash, substrings, suffixes, toxicity, urls
 from .batches import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,34 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_neighbours")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"))
+
+
+#: The site rules asked for: text and verdict.
+SITE_RULES = (
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+)
+
+
+#: The pattern rules again, as one expression over host and all that follows.
+_BLOCKED = (
+    r"(?i)^([^/?#]*\.)?(ads-track|casino-win|cheap-pills|free-bets|spam-farm|adult-x|adserver|doubleclick|malware|phishing)\."
+    r"|/adserver/|/doorway/.*\.html$|(^|[^A-Za-z0-9_.%-])click-farm([^A-Za-z0-9_.%-]|$)"
+)
+
+
+@query(
+    "op11_urls",
+    rf"""
+with a as (select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+b as (select page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, coalesce(rest, '') as rest from a),
+p as (select page_id, host, regexp_extract(substr(rest, length(host) + 1), '^[^?#]*', 0) as path, host || substr(rest, length(host) + 1) as address from b),
+rules(rule_host, rule_path, v) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits as (select page_id, host, path, rule_host || rule_path as rule, v, row_number() over (partition by page_id order by length(rule_host || rule_path) desc) as k
+         from p join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select p.page_id, p.host, p.path, f.rule, coalesce(f.v, case when regexp_matches(address, '{_BLOCKED}') then 'block' else 'allow' end) as verdict
+from p left join fits f on f.page_id = p.page_id and f.k = 1
+""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rules = urls.rules_table(spark, SITE_RULES, [(p, "block") for p in urls.BLOCK_PATTERNS])
+    return urls.judge(table(spark, folder, "pages"), rules).drop("pattern")
