@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, extraction, language, neighbours, packing, secrets, simhash, substrings, suffixes, toxicity, urls
+from . import contamination, conversations, extraction, language, neighbours, packing, secrets, simhash, substrings, suffixes, toxicity, urls, whitening
 from .batches import crc_rest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,41 @@ from p left join fits f on f.page_id = p.page_id and f.k = 1
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     rules = urls.rules_table(spark, SITE_RULES, [(p, "block") for p in urls.BLOCK_PATTERNS])
     return urls.judge(table(spark, folder, "pages"), rules).drop("pattern")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
+#: Byte by byte and bit by bit: crc32 of a number written as text.
+_CRC = (
+    "list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::varchar, ''), lambda c: list_concat([ascii(c)::bigint], [-1, -1, -1, -1, -1, -1, -1, -1])))), "
+    "lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, case when a & 1 = 1 then 3988292384 else 0 end) end)"
+)
+
+
+@query(
+    "op13_conversations",
+    f"""
+with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first) as pos, coalesce(role, '') as role, coalesce(text, '') as text
+           from conversations where conv_id is not null),
+c as (select conv_id, length, (4294967295 - {_CRC}) % 9 as h from (select conv_id, count(*) as length from t group by 1)),
+s as (select c.*, least(c.h, coalesce(b.length, 0)) as hb from c left join c b on b.conv_id = c.conv_id - c.conv_id % 5),
+r as (select s.conv_id, pos as d, role, text from s join t on t.conv_id = s.conv_id - s.conv_id % 5 and pos <= hb
+      union all select s.conv_id, pos - h + hb, role, text from s join t using (conv_id) where pos > h),
+p as materialized (select conv_id, d, md5(list(struct_pack(role, text)) over (partition by conv_id order by d)::varchar) as k, strlen(text) as bytes from r
+      union all select conv_id, 0, 'root', 0 from s),
+q as materialized (select *, lag(k) over (partition by conv_id order by d) as up, d = max(d) over (partition by conv_id) as ends from p),
+n as materialized (select k, d, min(conv_id) as conv_id, count(*) as n_convs, count(*) filter (ends) as n_ends, any_value(up) as up, (count(*) - 1) * max(bytes) as saved,
+             sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256 from q group by k, d),
+below as (select q.k, count(*) filter (n.n_ends = n.n_convs) as n_leaves, sum(n.saved)::bigint as saved_tokens
+          from n join q on q.conv_id = n.conv_id and q.d <= n.d group by q.k),
+kids as (select up as k, count(*) as n_children from n where d > 0 group by 1)
+select n.conv_id, n.d as depth, m.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens, n.ends_sha256
+from n join below using (k) left join kids using (k) left join n m on m.k = n.up
+""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.trie(table(spark, folder, "conversations"))
