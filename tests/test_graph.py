@@ -2,6 +2,7 @@ import random
 from collections import deque
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from tidemark.operators import graph
@@ -120,6 +121,35 @@ def test_distance_histogram(spark, random_graph, friends):
     assert {r["distance"]: r["n"] for r in graph.distance_histogram(friends).collect()}[1] == 30
 
 
+def test_paths_of_all_targets(spark, random_graph):
+    _, edges = random_graph
+    have = set(rows(edges))
+    found = graph.path_table(graph.cut_lineage(graph.bfs(edges, 0))).collect()
+    tree = {r["node"]: r["parent"] for r in graph.bfs(edges, 0).collect()}
+    assert {r["node"] for r in found} == set(tree)
+    for r in found:
+        path = r["path"]
+        assert path[0] == 0 and path[-1] == r["node"] and len(path) == r["distance"] + 1
+        assert all(tree[b] == a and (a, b) in have for a, b in zip(path, path[1:]))
+
+    parents = spark.range(201).select(F.col("id").alias("node"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.col("id").cast("int").alias("distance"))
+
+    assert all(r["path"] == list(range(r["node"] + 1)) for r in graph.path_table(parents).collect())
+
+
+def test_distance_sketch_is_within_its_error(spark, random_graph, friends):
+    for edges in (random_graph[1], friends):
+        exact = {r["distance"]: r["n"] for r in graph.distance_histogram(edges).collect()}
+        got = {r["distance"]: r for r in graph.distance_sketch(edges).collect()}
+        pairs = sum(exact.values())
+        for d, r in got.items():
+            within = sum(n for k, n in exact.items() if k <= d)
+            assert abs(r["within"] - within) <= 5 * r["error"] * (within + pairs / len(exact))
+        assert set(got) <= set(exact)
+    empty = spark.createDataFrame([], "src bigint, dst bigint")
+    assert graph.distance_sketch(empty).count() == 0
+
+
 def test_components(random_graph):
     pairs, edges = random_graph
     near = neighbours(pairs)
@@ -129,20 +159,42 @@ def test_components(random_graph):
     assert kept == set(distances(near, 0))
 
 
+def power_ranks(pairs, rounds=400):
+    ids = sorted({v for p in pairs for v in p})
+    out = {v: {b for a, b in pairs if a == v} for v in ids}
+    rank = dict.fromkeys(ids, 1 / len(ids))
+    for _ in range(rounds):
+        lost = sum(rank[v] for v in ids if not out[v])
+        rank = {v: 0.15 / len(ids) + 0.85 * (lost / len(ids) + sum(rank[u] / len(out[u]) for u in ids if v in out[u])) for v in ids}
+    return rank
+
+
 def test_pagerank_sums_to_one_with_dead_ends(spark, friends):
-    ranks = {r["id"]: r["rank"] for r in graph.pagerank(graph.both_ways(friends), rounds=30).collect()}
-    assert sum(ranks.values()) == pytest.approx(1.0) and max(ranks, key=ranks.get) in ("DavidF", "Mary")
+    ranks = {r["id"]: r["rank"] for r in graph.pagerank(graph.both_ways(friends), tolerance=1e-6).collect()}
+    assert sum(ranks.values()) == pytest.approx(1.0, abs=1e-5) and max(ranks, key=ranks.get) in ("DavidF", "Mary")
     line = spark.createDataFrame([(1, 2), (2, 3)], "src bigint, dst bigint")
-    dead = {r["id"]: r["rank"] for r in graph.pagerank(line, rounds=60).collect()}
+    dead = {r["id"]: r["rank"] for r in graph.pagerank(line, tolerance=1e-8).collect()}
     assert sum(dead.values()) == pytest.approx(1.0) and dead[3] > dead[2] > dead[1]
+    two = spark.createDataFrame([(1, 2), (2, 1), (3, 4), (4, 5), (5, 3), (5, 5), (6, 1)], "src bigint, dst bigint")
+    for df in (two,):
+        got = {r["id"]: r["rank"] for r in graph.pagerank(df, tolerance=1e-4).collect()}
+        assert sum(abs(got[v] - x) for v, x in power_ranks(rows(df)).items()) <= 1e-4 / 0.15
+    loose = {r["id"]: r["rank"] for r in graph.pagerank(two, tolerance=1e-3).collect()}
+    assert sum(abs(loose[v] - x) for v, x in power_ranks(rows(two)).items()) <= 1e-3 / 0.15
+    assert graph.pagerank(line.where("false")).count() == 0
 
 
 def test_betweenness(random_graph, friends):
     for pairs, edges in ((rows(friends), friends), random_graph):
         want = brute_betweenness(neighbours(pairs))
-        vertex, edge = graph.betweenness(edges)
+        vertex, edge = graph.betweenness(edges, block=None if edges is friends else 150)
         got = {r["id"]: r["score"] for r in vertex.collect()}
         assert got == pytest.approx(want)
+        if edges is friends:
+            for asked in (10.0, 0.0):  # one block is enough, all sources are needed
+                sampled = graph.betweenness_sampled(edges, error=asked, block=10).collect()
+                assert all(abs(r["score"] - want[r["id"]]) <= r["error"] + 1e-9 for r in sampled)
+                assert (max(r["n_sources"] for r in sampled) < len(want)) == (asked > 0)
         assert edge.count() == graph.simple_undirected(edges).count()
 
 

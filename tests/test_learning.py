@@ -1,5 +1,7 @@
 import colorsys
 import datetime as dt
+import itertools
+import math
 import random
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import colour
 from tidemark.functions.geometry import box_iou
-from tidemark.operators import causal, explain, features, metrics, models, pages
+from tidemark.operators import causal, explain, features, metrics, models, pages, trees
 from tidemark.plans import learning, standins as si
 from tidemark.sources import writers
 
@@ -191,6 +193,71 @@ def test_shapley_shares_sum_to_the_prediction(explained):
     assert shares.count() == 40 * len(learning.NAMES)
 
 
+def expected(node, by_place, x, known):
+    """What a tree gives on average when only some features of a row are known."""
+    if node.feature is None:
+        return node.value
+    left, right = by_place[node.tree, node.left], by_place[node.tree, node.right]
+    if node.feature in known:
+        goes = x[node.feature] <= node.threshold if node.categories is None else x[node.feature] in node.categories
+        return expected(left if goes else right, by_place, x, known)
+    return sum(c.cover / node.cover * expected(c, by_place, x, known) for c in (left, right))
+
+
+def brute_shares(nodes, x):
+    d, by_place = len(x), {(n.tree, n.node): n for n in nodes}
+    roots = [n for n in nodes if n.node == 0]
+    worth = {s: sum(expected(r, by_place, x, s) for r in roots) for k in range(d + 1) for s in map(frozenset, itertools.combinations(range(d), k))}
+    weight = lambda k: math.factorial(k) * math.factorial(d - k - 1) / math.factorial(d)
+    return [sum(weight(len(s)) * (worth[s | {j}] - worth[s]) for s in worth if j not in s) for j in range(d)], worth[frozenset()]
+
+
+@pytest.mark.parametrize("kind", ["gbt", "forest", "categories"])
+def test_tree_shares_equal_the_sum_over_subsets(spark, kind):
+    from pyspark.ml.feature import VectorIndexer
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+
+    rng = np.random.default_rng(6)
+    data = [(i, float(a * b > 0) + 0.2 * c + (d == 2), [float(a), float(b), float(c), float(d)]) for i, (a, b, c, d) in enumerate(zip(*rng.normal(size=(3, 400)), rng.integers(0, 4, 400)))]
+    df = spark.createDataFrame(data, "id long, label double, x array<double>")
+    vectors = explain.with_vector(df)
+    if kind == "categories":
+        vectors = VectorIndexer(inputCol="features", outputCol="f2", maxCategories=4).fit(vectors).transform(vectors).drop("features").withColumnRenamed("f2", "features")
+    learner = RandomForestRegressor(numTrees=5, maxDepth=6, seed=1) if kind == "forest" else GBTRegressor(maxIter=5, maxDepth=4, seed=1)
+    model = learner.fit(vectors)
+    nodes = trees.model_nodes(model)
+    assert any(n.categories is not None for n in nodes) == (kind == "categories")
+    assert sorted(map(repr, trees.nodes_of_table(trees.node_table(nodes, spark)))) == sorted(map(repr, nodes))
+    got = trees.tree_shapley(nodes, df, list("abcd")).collect()
+    assert len(got) == 4 * len(data)
+    shares = {(r["id"], r["feature"]): (r["share"], r["base"]) for r in got}
+    said = {r["id"]: r["prediction"] for r in model.transform(vectors).collect()}
+    for i, _, x in data:
+        assert sum(shares[i, f][0] for f in "abcd") + shares[i, "a"][1] == pytest.approx(said[i], abs=1e-9)
+    for i, _, x in data[:25]:
+        want, base = brute_shares(nodes, x)
+        assert [shares[i, f][0] for f in "abcd"] == pytest.approx(want, abs=1e-9) and shares[i, "a"][1] == pytest.approx(base)
+
+
+def test_tree_shares_of_odd_rows(spark):
+    nodes = learning.fixed_nodes()
+    df = spark.createDataFrame([(1, [float("nan")] * 3), (1, [10.0, 3.0, 0.0]), (None, [1e300, -1e300, 5.0]), (2, None), (3, [1.0])], "id long, x array<double>")
+    got = trees.tree_shapley(nodes, df, list("abc")).collect()
+    assert len(got) == 9 and trees.tree_shapley(nodes, df.where("false"), list("abc")).count() == 0
+    nan = [r["share"] for r in got if r["id"] == 1][:3]
+    assert nan == pytest.approx(brute_shares(nodes, [math.nan] * 3)[0])
+
+
+def test_margin_of_all_columns_is_shared_out(explained):
+    data, model = explained
+    from pyspark.ml.functions import vector_to_array
+
+    shares = trees.tree_shapley(trees.model_nodes(model), data, learning.NAMES)
+    sums = shares.groupBy("id").agg((F.sum("share") + F.first("base")).alias("s"))
+    raw = model.transform(explain.with_vector(data)).select("id", vector_to_array("rawPrediction")[1].alias("m"))
+    assert all(r["s"] == pytest.approx(r["m"], abs=1e-9) for r in sums.join(raw, "id").collect())
+
+
 def test_shuffling_a_useless_feature_changes_nothing(spark, explained):
     data, _ = explained
     useless = data.withColumn("x", F.array(F.col("label") + F.col("x")[0] * 0.01, F.lit(1.0)))

@@ -1,3 +1,8 @@
+import collections
+import hashlib
+import math
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators import profile, ranks, resample, stats
+from tidemark.operators import draws, profile, ranks, resample, stats
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -99,26 +104,95 @@ def test_describe_matches_pandas(skewed):
             assert got[c][mine] == pytest.approx(want.loc[theirs, c])
 
 
-def test_bootstrap_against_numpy(spark):
-    from tidemark.functions.hashing import seeded_hash
-
-    values = np.round(np.random.default_rng(1).exponential(size=301), 3)
-    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "id bigint, v double")
-    got = resample.bootstrap_ci(df, "v", "id", reps=40, seed=9, log_bins=4).first()
-    slots = spark.range(301 * 40).select((F.col("id") % 40).alias("rep"), F.floor(F.col("id") / 40).alias("slot"))
-    picks = slots.select("rep", (seeded_hash(9, "rep", "slot") % 301).alias("p")).toPandas()
-    ordered = np.sort(values)
-    diffs = picks.groupby("rep")["p"].apply(lambda p: np.median(ordered[p.to_numpy()])) - np.median(values)
-    assert got["stat"] == pytest.approx(np.median(values))
-    assert got["lo"] == pytest.approx(np.median(values) - np.quantile(diffs, 0.975))
-    assert got["hi"] == pytest.approx(np.median(values) - np.quantile(diffs, 0.025))
+def uniform(*parts):
+    digest = hashlib.md5("-".join(map(str, parts)).encode()).hexdigest()
+    return (int(digest[:15], 16) >> 8) / 2**52
+
+
+def gamma_by_hand(shape, seed, part, rep):
+    d = shape - 1 / 3
+    c = 1 / math.sqrt(9 * d)
+    for j in range(draws.GAMMA_TRIES):
+        u1, u2, u3 = (uniform(seed, part + str(k), rep, j) for k in (1, 2, 3))
+        x = math.sqrt(-2 * math.log(1 - u1)) * math.cos(2 * math.pi * u2)
+        v = (1 + c * x) ** 3
+        if v > 0 and math.log(1 - u3) < x * x / 2 + d - d * v + d * math.log(v):
+            return d * v
+
+
+@pytest.mark.parametrize("n,prob", [(301, 0.5), (300, 0.5), (40, 0.9), (7, 1.0), (1, 0.5)])
+def test_bootstrap_against_plain_python(spark, n, prob):
+    values = np.round(np.random.default_rng(n).exponential(size=n), 1)  # many ties
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    got = resample.bootstrap_ci(df, "v", reps=200, seed=9, prob=prob).first()
+    ordered, at = np.sort(values), (n - 1) * prob
+    lo, hi = int(at), min(int(at) + 1, n - 1)
+    stats = []
+    for rep in range(200):
+        a, b = gamma_by_hand(lo + 1, 9, "a", rep), gamma_by_hand(n - lo, 9, "b", rep)
+        u = a / (a + b)
+        w = 1 - (1 - u) * (1 - uniform(9, "next", rep)) ** (1 / (n - lo - 1)) if hi > lo else u
+        low, high = (ordered[min(n - 1, math.floor(x * n))] for x in (u, w))
+        stats.append(low + (high - low) * (at - lo))
+    diffs = np.array(stats) - np.quantile(values, prob)
+    assert got["stat"] == pytest.approx(np.quantile(values, prob))
+    assert got["lo"] == pytest.approx(got["stat"] - np.quantile(diffs, 0.975))
+    assert got["hi"] == pytest.approx(got["stat"] - np.quantile(diffs, 0.025))
+
+
+def test_order_statistics_follow_real_resampling(spark):
+    n, reps = 60, 6000
+    got = draws.order_statistics(spark.range(reps).withColumnRenamed("id", "rep"), "rep", n, 29, 30, 3).toPandas()
+    real = np.sort(np.random.default_rng(1).integers(0, n, (reps, n)), axis=1)
+    for name, rank in (("lo", 29), ("hi", 30)):
+        assert abs(got[name].mean() - real[:, rank].mean()) < 5 * real[:, rank].std() / math.sqrt(reps / 2)
+        assert abs(got[name].std() / real[:, rank].std() - 1) < 0.05
+    assert (got["lo"] <= got["hi"]).all() and abs((got["hi"] - got["lo"]).mean() - (real[:, 30] - real[:, 29]).mean()) < 0.1
+
+
+@pytest.mark.parametrize("total,left,drawn", [(10, 4, 5), (1000, 10, 500), (1000, 500, 3), (200, 190, 150), (5, 5, 3), (50, 1, 1), (7, 3, 0)])
+def test_hypergeometric_follows_its_law(spark, total, left, drawn):
+    reps = 5000
+    df = spark.range(reps).select("id", F.lit(total).alias("n"), F.lit(left).alias("k"), F.lit(drawn).alias("c"))
+    got = collections.Counter(r["x"] for r in draws.hypergeometric(df, "n", "k", "c", "x", 4, "id").collect())
+    law = {x: math.comb(left, x) * math.comb(total - left, drawn - x) / math.comb(total, drawn) for x in range(max(0, drawn - total + left), min(left, drawn) + 1)}
+    assert set(got) <= set(law) and sum(got.values()) == reps
+    chi, cells, rest_p, rest_n = 0.0, 0, 0.0, 0
+    for x, p in law.items():
+        if p * reps >= 5:
+            chi, cells = chi + (got[x] - p * reps) ** 2 / (p * reps), cells + 1
+        else:
+            rest_p, rest_n = rest_p + p, rest_n + got[x]
+    assert chi <= cells + 5 * math.sqrt(2 * cells) and rest_n <= rest_p * reps + 5 * math.sqrt(rest_p * reps) + 3
+
+
+def test_chosen_sums_follow_real_shuffles(spark):
+    values = np.repeat([0.0, 1.0, 2.0, 5.0, 9.0], [40, 30, 20, 5, 5])
+    df = spark.createDataFrame([(float(v), int(c)) for v, c in zip(*np.unique(values, return_counts=True))], "v double, n long")
+    got = np.array([r["s"] for r in resample.chosen_sums(df, "v", 30, 4000, 2).collect()])
+    rng = np.random.default_rng(5)
+    real = np.array([rng.permutation(values)[:30].sum() for _ in range(4000)])
+    assert len(got) == 4000 and abs(got.mean() - real.mean()) < 5 * real.std() / math.sqrt(2000) and abs(got.std() / real.std() - 1) < 0.06
+    assert {r["s"] for r in resample.chosen_sums(df, "v", 100, 5, 2).collect()} == {values.sum()}
 
 
 def test_permutation_finds_a_real_difference(spark):
-    far = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("g"), (F.col("id") % 2 * 10 + F.col("id") % 5).alias("v"))
-    assert resample.permutation_test(far, "g", "v", "id", reps=100, log_bins=3).first()["p_value"] == 0.0
-    none = far.withColumn("v", F.hash("id") % 100)
-    assert resample.permutation_test(none, "g", "v", "id", reps=100, log_bins=3).first()["p_value"] > 0.01
+    far = spark.range(400).select(F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("g"), (F.col("id") % 2 * 10 + F.col("id") % 5).alias("v"))
+    assert resample.permutation_test(far, "g", "v", reps=200).first()["p_value"] == 0.0
+    none = spark.range(400).select(F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("g"), (F.hash("id") % 100).alias("v"))
+    assert resample.permutation_test(none, "g", "v", reps=200).first()["p_value"] > 0.01
+    odd = none.unionByName(spark.createDataFrame([(None, 5), ("A", None)], "g string, v int"))
+    assert resample.permutation_test(odd, "g", "v", reps=200).collect() == resample.permutation_test(none, "g", "v", reps=200).collect()
+    assert resample.permutation_test(none.where("false"), "g", "v", reps=5).first()["n_above"] == 0
+
+
+def test_replicates_never_meet_rows(spark):
+    """No stage holds rows times replicates: the widest table is replicates times distinct values."""
+    rows = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("g"), (F.col("id") % 7).alias("v"))
+    start = time.time()
+    assert resample.permutation_test(rows, "g", "v", reps=1000).first()["p_value"] <= 1
+    assert resample.bootstrap_ci(rows, "v", reps=1000).first()["stat"] == 3
+    assert time.time() - start < 60  # 400 million draws would take far longer
 
 
 def test_split_does_not_depend_on_partitions(spark):

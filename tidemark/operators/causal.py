@@ -131,12 +131,43 @@ def nearest_within(left: DataFrame, right: DataFrame, coords: Sequence[str], rad
     return left.join(best.select(*coords, F.col("_b.m").alias("m"), F.col("_b.distance").alias("distance")), coords)
 
 
+def nearest_sorted(left: DataFrame, right: DataFrame, coord: str, radius: float, strict: bool) -> DataFrame:
+    """``nearest_within`` along one coordinate: both sides are sorted together and look to their neighbours.
+
+    The points are cut into ranges of the coordinate. The nearest right point is the last one before or the first one
+    after, in the same range or, at its borders, in the next range that has one: one row a range is exchanged.
+    """
+    x = F.col(coord).cast("double").alias("_x")
+    kind = dict(right.dtypes)["m"]
+    held = F.struct("_x", "m")
+    mine, theirs = left.select(x, F.lit(None).cast(kind).alias("m")), right.select(x, "m")
+    both = mine.distinct().unionByName(theirs).where("_x is not null")
+    placed = cut_lineage(both.repartitionByRange("_x").withColumn("_p", F.spark_partition_id()))
+    point = F.when(F.col("m").isNotNull(), held)
+    # both frames take in points at the same place
+    before = F.last(point, ignorenulls=True).over(Window.partitionBy("_p").orderBy("_x").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.last(point, ignorenulls=True).over(Window.partitionBy("_p").orderBy(F.desc("_x")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = placed.groupBy("_p").agg(F.max_by(point, F.when(F.col("m").isNotNull(), F.col("_x"))).alias("last"), F.min_by(point, F.when(F.col("m").isNotNull(), F.col("_x"))).alias("first"))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    later = Window.orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, -1)
+    borders = ends.select("_p", F.last("last", ignorenulls=True).over(earlier).alias("_l"), F.last("first", ignorenulls=True).over(later).alias("_f"))
+    seen = placed.select("_p", "_x", "m", before.alias("_b"), after.alias("_a")).where("m is null").join(F.broadcast(borders), "_p")
+    sides = F.array(F.coalesce("_b", "_l"), F.coalesce("_a", "_f"))
+    measured = F.transform(F.filter(sides, lambda c: c.isNotNull()), lambda c: F.struct(F.abs(c["_x"] - F.col("_x")).alias("distance"), c["m"].alias("m")))
+    near = F.filter(measured, lambda c: c["distance"] < radius if strict else c["distance"] <= radius)
+    best = seen.select("_x", F.array_min(near).alias("_n")).where("_n is not null").select("_x", F.col("_n.m").alias("m"), F.col("_n.distance").alias("distance"))
+    return left.withColumn("_x", F.col(coord).cast("double")).join(best, "_x").drop("_x")
+
+
 def nearest_match_effect(
     df: DataFrame, treat: str, outcome: str, covariates: Sequence[str], id: str, threshold: float = 1000.0, strict: bool = True
 ) -> DataFrame:
     """Controls matched to the nearest treated person closer than a threshold."""
-    controls, treated = _points(df, treat, outcome, covariates, id)
-    matched = nearest_within(cut_lineage(controls), cut_lineage(treated), covariates, threshold, strict)
+    controls, treated = (cut_lineage(points) for points in _points(df, treat, outcome, covariates, id))
+    if len(covariates) == 1:
+        matched = nearest_sorted(controls, treated, covariates[0], threshold, strict)
+    else:
+        matched = nearest_within(controls, treated, covariates, threshold, strict)
     return _effect(matched.select(F.col("m.t").alias("t"), "n", "s"), df.where(F.col(treat) == 0))
 
 
@@ -147,6 +178,14 @@ def propensity_match_effect(
     return nearest_match_effect(df, treat, outcome, [score], id, threshold, strict=False)
 
 
+def propensity_effect(
+    df: DataFrame, treat: str, outcome: str, confounders: Sequence[str], id: str, threshold: float = 0.01
+) -> DataFrame:
+    """Effect by matching on the probability of treatment, fitted on the named confounders."""
+    scored = propensity_scores(df.select(id, treat, outcome, *confounders), treat, confounders, "_score")
+    return propensity_match_effect(cut_lineage(scored), treat, outcome, "_score", id, threshold)
+
+
 def propensity_scores(df: DataFrame, treat: str, covariates: Sequence[str], name: str = "score") -> DataFrame:
     """Probability of treatment given the covariates, by logistic regression."""
     stages = [

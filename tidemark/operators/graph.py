@@ -6,13 +6,15 @@ each round moves only the vertex side. Rounds are cut by reliable checkpoints.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import seeded_hash
+from ..functions.hashing import HASH_BITS, seeded_hash
 from ..functions.numeric import ratio
 from ..session import cut_lineage
 from .ranks import row_numbers, text_row_numbers
@@ -20,6 +22,7 @@ from .skew import all_salts, hot_hashes, salt_of, salted_join
 
 COMPACT_EVERY = 8
 EDGES_PER_TASK = 20_000  # a small graph does not need every task of the cluster
+MESSAGES = 50_000_000  # rows that one round of a block of sources may send
 
 
 # -- building graphs --------------------------------------------------------------------------
@@ -152,20 +155,28 @@ def bfs(edges: DataFrame, source: object, target: object = None) -> DataFrame:
                 return seen
 
 
-def shortest_path(edges: DataFrame, source: object, target: object) -> list[object]:
-    """Vertices of one shortest path, smallest parents first choice; empty when there is none.
+def path_table(found: DataFrame) -> DataFrame:
+    """Add the whole path from the source, as an array, to every row ``(node, parent, distance)`` of a search.
 
-    The walk back reads one row per step.
+    Pointer doubling: a node holds the last part of its path and the vertex before that part; each round
+    puts that vertex's own part in front, which doubles what is known. So there are as many joins as the longest
+    distance has binary digits. Vertices that many others lead back to are spread by ``salted_join``.
     """
-    found = cut_lineage(bfs(edges, source, target))
-    path, node = [], target
-    while node is not None:
-        row = found.where(F.col("node") == node).select("node", "parent").first()
-        if row is None:
-            return []
-        path.append(row["node"])
-        node = row["parent"]
-    return path[::-1]
+    state = cut_lineage(found.select("node", F.col("parent").alias("before"), "distance", F.array("node").alias("path")))
+    while not state.where("before is not null").isEmpty():
+        open_ = state.where("before is not null")
+        jumps = state.select(F.col("node").alias("before"), F.col("before").alias("_b"), F.col("path").alias("_p"))
+        longer = salted_join(open_, jumps, ["before"], ["node"]).select(
+            "node", F.col("_b").alias("before"), "distance", F.concat("_p", "path").alias("path")
+        )
+        state = cut_lineage(state.where("before is null").unionByName(longer))
+    return state.select("node", "distance", "path")
+
+
+def shortest_path(edges: DataFrame, source: object, target: object) -> list[object]:
+    """Vertices of one shortest path, smallest parents first choice; empty when there is none."""
+    row = path_table(cut_lineage(bfs(edges, source, target))).where(F.col("node") == target).first()
+    return row["path"] if row else []
 
 
 def distance_histogram(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
@@ -173,7 +184,8 @@ def distance_histogram(edges: DataFrame, sources: DataFrame | None = None) -> Da
 
     All sources are searched together: 64 of them share one row per vertex as bits of a mask,
     so a round costs one 64-bit ``or`` where pair-wise search would need 64 rows. The largest
-    distance is the diameter.
+    distance is the diameter. The state grows with vertices times ``sources``; for all sources of a large
+    graph use ``distance_sketch``.
     """
     with spread(both_ways(edges)) as graph:
         ids = index_vertices(graph.edges)
@@ -206,26 +218,80 @@ def distance_histogram(edges: DataFrame, sources: DataFrame | None = None) -> Da
         return counts
 
 
+def distance_sketch(edges: DataFrame, log_k: int = 12) -> DataFrame:
+    """Estimated number of ordered vertex pairs at each distance in the undirected graph, all vertices being sources.
+
+    Every vertex keeps one distinct-count sketch of the vertices within the round's distance; a round merges its
+    neighbours' sketches into it, so the state is one sketch a vertex. ``within`` is the number of pairs up to the
+    distance, ``error`` the relative standard error of a sketch, ``1.04 / sqrt(2 ** log_k)``. Ends when no sketch changes.
+    """
+    with spread(both_ways(edges)) as graph:
+        spark = graph.edges.sparkSession
+        kind = F.col("id").cast("string") if dict(graph.edges.dtypes)["src"] not in ("bigint", "int", "string") else F.col("id")
+        own = vertices(graph.edges).select(F.col("id").alias("node"), kind.alias("v"))
+        state = cut_lineage(own.groupBy("node").agg(F.hll_sketch_agg("v", F.lit(log_k)).alias("sketch")))
+        facts = state.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.hll_sketch_estimate("sketch")), F.lit(0)).alias("total")).first()
+        rows, distance, total = [], 0, facts["total"]
+        while True:
+            distance += 1
+            sent = graph.follow(state, "node").select(F.col("dst").alias("node"), "sketch")
+            merged = cut_lineage(state.unionByName(sent).groupBy("node").agg(F.hll_union_agg("sketch", F.lit(False)).alias("sketch")))
+            now = merged.agg(F.coalesce(F.sum(F.hll_sketch_estimate("sketch")), F.lit(0)).alias("total")).first()["total"]
+            if now <= total:
+                break
+            rows.append((distance, now - total, now - facts["n"]))
+            total, state = now, merged
+        error = F.lit(1.04 / 2 ** (log_k / 2))
+        return spark.createDataFrame(rows, "distance int, n bigint, within bigint").withColumn("error", error)
+
+
 # -- ranks -------------------------------------------------------------------------------------
 
 
-def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 10) -> DataFrame:
-    """Rank of every vertex after a fixed number of rounds; dead ends share their rank with all."""
-    with spread(edges) as graph:
-        out = graph.edges.groupBy("src").agg(F.count("*").alias("out"))
-        all_vertices = vertices(graph.edges)
-        ranks = cut_lineage(
-            all_vertices.join(out.withColumnRenamed("src", "id"), "id", "left").select("id", F.coalesce("out", F.lit(0)).alias("out"))
+def _settle(graph: SpreadEdges, nodes: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """Ranks of ``nodes (id, out)``, where ``out`` counts a vertex's neighbours among them.
+
+    A vertex holds a rank and a residual, what its rank lacks. Each round the vertices whose residual exceeds their share
+    of ``tolerance`` add it to their rank and send it on; the others stay quiet. When none is left the residuals sum
+    to at most ``tolerance``, so all ranks together are within ``tolerance / (1 - damping)`` of the true ones. The start
+    is the share of edges, near which an undirected graph settles.
+    """
+    facts = nodes.agg(F.count("*").alias("n"), F.sum("out").alias("total"), F.count_if(F.col("out") == 0).alias("dead")).first()
+    n, total = facts["n"], facts["total"]
+    if not n:
+        return nodes.select("id", F.lit(None).cast("double").alias("rank"))
+    start = F.col("out") / F.lit(float(total)) if total else F.lit(1.0 / n)
+    base, least = (1.0 - damping) / n, tolerance / n
+    state = nodes.select("id", "out", start.alias("rank"), (F.lit(base) - start).alias("residual"), start.alias("sent"))
+    lost = 0.0 if total else 1.0
+    while True:
+        moved = graph.follow(state.where("sent <> 0 and out > 0").select("id", (F.col("sent") / F.col("out") * damping).alias("c")), "id")
+        zero, none = F.lit(0.0), F.lit(None).cast("bigint")
+        parts = state.select("id", F.col("out").cast("bigint").alias("out"), "rank", "residual").unionByName(
+            moved.select(F.col("dst").alias("id"), none.alias("out"), zero.alias("rank"), F.col("c").alias("residual"))
         )
-        n = ranks.count()
-        ranks = ranks.withColumn("rank", F.lit(1.0 / n) if n else F.lit(None).cast("double"))
-        for _ in range(rounds):
-            sent = ranks.where("out > 0").select("id", (F.col("rank") / F.col("out")).alias("_c"))
-            got = graph.follow(sent, "id").groupBy(F.col("dst").alias("id")).agg(F.sum("_c").alias("_s"))
-            lost = F.coalesce(ranks.where("out = 0").agg(F.sum("rank")).scalar(), F.lit(0.0))
-            new = (F.coalesce(F.col("_s"), F.lit(0.0)) + lost / n) * damping + (1 - damping) / n
-            ranks = cut_lineage(ranks.join(got, "id", "left").select("id", "out", new.alias("rank")))
-        return ranks.select("id", "rank")
+        # a vertex outside ``nodes`` gets parts but has no row of its own
+        added = parts.groupBy("id").agg(F.max("out").alias("out"), F.sum("rank").alias("rank"), (F.sum("residual") + lost * damping / n).alias("r")).where("out is not null")
+        loud = F.abs("r") > least
+        state = cut_lineage(added.select(
+            "id", "out", F.when(loud, F.col("rank") + F.col("r")).otherwise(F.col("rank")).alias("rank"),
+            F.when(loud, zero).otherwise(F.col("r")).alias("residual"), F.when(loud, F.col("r")).otherwise(zero).alias("sent"),
+        ))
+        now = state.agg(F.count_if(F.col("sent") != 0).alias("loud"), F.coalesce(F.sum(F.when(F.col("out") == 0, F.col("sent"))), F.lit(0.0)).alias("lost")).first()
+        if not now["loud"]:
+            return state.select("id", "rank")
+        lost = now["lost"]
+
+
+def _degrees(graph: SpreadEdges) -> DataFrame:
+    out = graph.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out"))
+    return vertices(graph.edges).join(out, "id", "left").select("id", F.coalesce("out", F.lit(0)).alias("out"))
+
+
+def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
+    """Rank of every vertex, within ``tolerance / (1 - damping)`` in total; dead ends share their rank with all."""
+    with spread(edges) as graph:
+        return _settle(graph, cut_lineage(_degrees(graph)), damping, tolerance)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -270,62 +336,118 @@ def largest_component(edges: DataFrame) -> DataFrame:
     return filter_vertices(edges, labels.where(F.col("component") == best))
 
 
-def influencers(edges: DataFrame, high: float, low: float, rounds: int = 10) -> DataFrame:
-    """Ranks above ``low`` in the largest component left after dropping ranks of ``high`` and more."""
-    graph = cut_lineage(both_ways(edges))
-    calm = pagerank(graph, rounds=rounds).where(F.col("rank") < high)
-    core = largest_component(cut_lineage(filter_vertices(graph, calm)))
-    return pagerank(core, rounds=rounds).where(F.col("rank") > low)
+def influencers(edges: DataFrame, high: float, low: float, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
+    """Ranks above ``low`` in the largest component left after dropping ranks of ``high`` and more.
+
+    Both rankings walk one layout of the edges: the second one counts and keeps only what stays among its vertices.
+    """
+    with spread(both_ways(edges)) as graph:
+        calm = cut_lineage(_settle(graph, cut_lineage(_degrees(graph)), damping, tolerance).where(F.col("rank") < high))
+        core = cut_lineage(vertices(largest_component(cut_lineage(filter_vertices(graph.edges, calm)))))
+        near = graph.follow(core, "id").select(F.col("src").alias("id"), F.col("dst").alias("other"))
+        inside = near.join(core.withColumnRenamed("id", "other"), "other", "left_semi").groupBy("id").agg(F.count("*").alias("out"))
+        return _settle(graph, cut_lineage(inside), damping, tolerance).where(F.col("rank") > low)
 
 
-def betweenness(edges: DataFrame, pivots: int | None = None, seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Normalised betweenness of vertices ``(id, score)`` and of edges ``(a, b, score)``.
+def _dependencies(graph: SpreadEdges, sources: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Shortest-path dependencies of one block of sources: by vertex ``(node, dep, dep2)`` and by edge ``(a, b, c)``.
 
-    Shortest paths are counted from all vertices, or from ``pivots`` hash-chosen ones with the
-    result scaled up. Forward rounds carry path counts, backward rounds carry dependencies.
+    Forward rounds carry path counts, backward rounds carry dependencies (Brandes, 2001). ``dep2`` sums squares.
+    """
+    level = cut_lineage(sources.select(F.col("id").alias("s"), F.col("id").alias("node"), F.lit(1.0).alias("paths")))
+    levels, seen = [level], level.select("s", "node")
+    while True:
+        reached = graph.follow(level, "node").groupBy("s", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
+        # on an undirected graph a new vertex can only have been seen one or two rounds ago
+        level = cut_lineage(reached.join(seen, ["s", "node"], "left_anti"))
+        if level.isEmpty():
+            break
+        levels.append(level)
+        seen = levels[-2].select("s", "node").unionByName(level.select("s", "node"))
+
+    lower = levels[-1].withColumn("dep", F.lit(0.0))
+    vertex_parts, edge_parts = [lower.where(F.col("s") != F.col("node")).select("node", "dep")], []
+    for upper in reversed(levels[:-1]):
+        back = graph.follow(lower, "node").select(
+            "s", F.col("src").alias("w"), F.col("dst").alias("node"), (F.lit(1.0) + F.col("dep")).alias("gain"), F.col("paths").alias("below")
+        )
+        shares = cut_lineage(
+            back.join(upper, ["s", "node"]).select("s", "node", "w", "paths", (F.col("paths") / F.col("below") * F.col("gain")).alias("c"))
+        )
+        edge_parts.append(shares.select(F.least("node", "w").alias("a"), F.greatest("node", "w").alias("b"), "c"))
+        gained = shares.groupBy("s", "node").agg(F.sum("c").alias("dep"))
+        lower = cut_lineage(upper.join(gained, ["s", "node"], "left").withColumn("dep", F.coalesce("dep", F.lit(0.0))))
+        vertex_parts.append(lower.where(F.col("s") != F.col("node")).select("node", "dep"))
+    by_vertex = reduce(DataFrame.unionByName, vertex_parts).groupBy("node").agg(F.sum("dep").alias("dep"), F.sum(F.col("dep") * F.col("dep")).alias("dep2"))
+    by_edge = reduce(DataFrame.unionByName, edge_parts).groupBy("a", "b").agg(F.sum("c").alias("c")) if edge_parts else None
+    return by_vertex, by_edge
+
+
+def _blocks(graph: SpreadEdges, nodes: DataFrame, n: int, seed: int, block: int | None) -> tuple[DataFrame, int]:
+    """Vertices with the number of their block of sources, in hash order, and the number of blocks.
+
+    A block's rounds send at most its sources times the edges, and ``MESSAGES`` bounds that.
+    """
+    block = block or max(1, MESSAGES // max(1, graph.edges.count()))
+    hashed = nodes.select("id", seeded_hash(seed, "id").alias("h"))
+    count = -(-n // block)
+    return cut_lineage(hashed.select("id", F.floor(F.col("h") / F.lit(2.0**HASH_BITS) * count).cast("int").alias("block"))), count
+
+
+def _normalised(value: Column, pairs: float) -> Column:
+    return ratio(value / 2.0, F.lit(float(pairs)))
+
+
+def betweenness(edges: DataFrame, seed: int = 1, block: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Exact normalised betweenness of vertices ``(id, score)`` and of edges ``(a, b, score)``.
+
+    All vertices are sources, in blocks, so what is held at once is a block's share and not all pairs.
     """
     with spread(both_ways(edges)) as graph:
         nodes = cut_lineage(vertices(graph.edges))
         n = nodes.count()
-        sources = nodes if pivots is None or pivots >= n else nodes.orderBy(seeded_hash(seed, "id"), "id").limit(pivots)
-        scale = 1.0 if pivots is None or pivots >= n else n / pivots
-        level = cut_lineage(sources.select(F.col("id").alias("s"), F.col("id").alias("node"), F.lit(1.0).alias("paths")))
-        levels, seen = [level], level.select("s", "node")
-        while True:
-            reached = graph.follow(level, "node").groupBy("s", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
-            # on an undirected graph a new vertex can only have been seen one or two rounds ago
-            level = cut_lineage(reached.join(seen, ["s", "node"], "left_anti"))
-            if level.isEmpty():
-                break
-            levels.append(level)
-            seen = levels[-2].select("s", "node").unionByName(level.select("s", "node"))
-
-        lower = levels[-1].withColumn("dep", F.lit(0.0))
-        vertex_parts, edge_parts = [lower.select("node", "dep")], []
-        for upper in reversed(levels[:-1]):
-            back = graph.follow(lower, "node").select(
-                "s", F.col("src").alias("w"), F.col("dst").alias("node"), (F.lit(1.0) + F.col("dep")).alias("gain"), F.col("paths").alias("below")
-            )
-            shares = cut_lineage(
-                back.join(upper, ["s", "node"]).select("s", "node", "w", "paths", (F.col("paths") / F.col("below") * F.col("gain")).alias("c"))
+        blocked, count = _blocks(graph, nodes, n, seed, block)
+        by_vertex, by_edge = nodes.select(F.col("id").alias("node"), F.lit(0.0).alias("dep")), simple_undirected(graph.edges).withColumn("c", F.lit(0.0))
+        for i in range(count):
+            own, crossed = _dependencies(graph, blocked.where(F.col("block") == i).select("id"))
+            by_vertex = cut_lineage(by_vertex.unionByName(own.select("node", "dep")).groupBy("node").agg(F.sum("dep").alias("dep")))
+            if crossed is not None:
+                by_edge = cut_lineage(by_edge.unionByName(crossed).groupBy("a", "b").agg(F.sum("c").alias("c")))
+        return (
+            by_vertex.select(F.col("node").alias("id"), _normalised(F.col("dep"), (n - 1) * (n - 2) / 2).alias("score")),
+            by_edge.select("a", "b", _normalised(F.col("c"), n * (n - 1) / 2).alias("score")),
+        )
+
+
+def betweenness_sampled(
+    edges: DataFrame, error: float = 0.02, confidence: float = 0.95, seed: int = 1, block: int | None = None
+) -> DataFrame:
+    """Betweenness from as many sources as an error bound asks for: ``id, score, error, n_sources``.
+
+    Blocks of sources are drawn in hash order until the empirical Bernstein bound (Maurer and Pontil, 2009), taken for all
+    vertices and all looks together, is at most ``error`` for every vertex; with all sources the score is exact and
+    the bound 0. ``error`` is the vertex's own bound at the end.
+    """
+    with spread(both_ways(edges)) as graph:
+        nodes = cut_lineage(vertices(graph.edges))
+        n = nodes.count()
+        if n < 3:
+            return nodes.select("id", F.lit(0.0).alias("score"), F.lit(0.0).alias("error"), F.lit(n).cast("bigint").alias("n_sources"))
+        blocked, count = _blocks(graph, nodes, n, seed, block)
+        held = nodes.select(F.col("id").alias("node"), F.lit(0.0).alias("dep"), F.lit(0.0).alias("dep2"))
+        log_term, used = math.log(2.0 * n * count / (1.0 - confidence)), 0
+        for i in range(count):
+            chosen = blocked.where(F.col("block") == i).select("id")
+            used += chosen.count()
+            own, _ = _dependencies(graph, chosen)
+            held = cut_lineage(held.unionByName(own).groupBy("node").agg(F.sum("dep").alias("dep"), F.sum("dep2").alias("dep2")))
+            mean = F.col("dep") / F.lit(float(used * (n - 2)))
+            spread_ = F.greatest(F.col("dep2") / F.lit(float(used * (n - 2) ** 2)) - mean * mean, F.lit(0.0)) * (used / max(1, used - 1))
+            bound = F.sqrt(spread_ * (2.0 * log_term / max(1, used))) + 7.0 * log_term / (3.0 * max(1, used - 1))
+            scored = held.select(
+                F.col("node").alias("id"), (mean * (n / (n - 1))).alias("score"),
+                (F.lit(0.0) if used >= n else bound * (n / (n - 1))).alias("error"), F.lit(used).cast("bigint").alias("n_sources"),
             )
-            edge_parts.append(shares.select(F.least("node", "w").alias("a"), F.greatest("node", "w").alias("b"), "c"))
-            gained = shares.groupBy("s", "node").agg(F.sum("c").alias("dep"))
-            lower = cut_lineage(upper.join(gained, ["s", "node"], "left").withColumn("dep", F.coalesce("dep", F.lit(0.0))))
-            vertex_parts.append(lower.where(F.col("s") != F.col("node")).select("node", "dep"))
-
-        def union(parts: list[DataFrame]) -> DataFrame:
-            result = parts[0]
-            for p in parts[1:]:
-                result = result.unionByName(p)
-            return result
-
-        def scaled(value: Column, pairs: float) -> Column:
-            return ratio(value * scale / 2.0, F.lit(float(pairs)))
-
-        by_vertex = union(vertex_parts).groupBy(F.col("node").alias("id")).agg(F.sum("dep").alias("_d"))
-        scores = nodes.join(by_vertex, "id", "left").select("id", scaled(F.coalesce("_d", F.lit(0.0)), (n - 1) * (n - 2) / 2).alias("score"))
-        if not edge_parts:
-            return scores, simple_undirected(graph.edges).withColumn("score", F.lit(0.0))
-        by_edge = union(edge_parts).groupBy("a", "b").agg(F.sum("c").alias("_c"))
-        return scores, by_edge.select("a", "b", scaled(F.col("_c"), n * (n - 1) / 2).alias("score"))
+            if used and (used >= n or scored.agg(F.max("error")).first()[0] <= error):
+                break
+        return scored

@@ -1,18 +1,23 @@
-"""Bootstrap intervals and permutation tests by seeded hashes.
+"""Bootstrap intervals and permutation tests by counts.
 
-Replicates are never materialised row by row in a shuffle: each row's draw is a hash, draws are
-counted per replicate and bin before the shuffle, and only the bin that decides the statistic
-is looked at again.
+A replicate is drawn from the law of what it needs: two order statistics for a quantile, counts per
+distinct value for a mean. No stage holds rows times replicates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_bin, seeded_hash, seeded_uniform
+from ..functions.hashing import seeded_hash, seeded_uniform
 from ..functions.numeric import ratio
-from .ranks import exact_quantiles, running_totals, value_bins
+from ..session import cut_lineage
+from .draws import hypergeometric, order_statistics
+from .ranks import exact_quantiles, row_numbers, value_counts_before
+
+PICK_BUCKETS = 4096
+BROADCAST_VALUES = 100_000
+CUT_EVERY = 4  # levels of splitting between checkpoints
 
 
 def hash_split(df: DataFrame, keys: list[str], share: float, seed: int, name: str = "part") -> DataFrame:
@@ -24,51 +29,41 @@ def hash_folds(df: DataFrame, keys: list[str], folds: int, seed: int, name: str
     return df.withColumn(name, (seeded_hash(seed, *keys) % folds).cast("int"))
 
 
-def _cumulative(per_bin: DataFrame, key: str) -> DataFrame:
-    """Counts in earlier bins; every key has at most as many rows as there are bins."""
-    earlier = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    return per_bin.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+def _at_positions(ranked: DataFrame, value: str, picks: DataFrame, n: int) -> DataFrame:
+    """Picks ``(rep, which, position)`` with the value that stands at their position of the sorted rows.
+
+    ``ranked`` holds distinct values with their rows ``n`` and the rows ``before`` them. Both sides are cut
+    into ranges of positions, so they meet on equal keys; a value meets each range it spans once.
+    """
+    bucket = lambda c: F.floor(c.cast("double") * F.lit(PICK_BUCKETS / n)).cast("int")
+    spans = ranked.withColumn("_b", F.explode(F.sequence(bucket(F.col("before")), bucket(F.col("before") + F.col("n") - 1))))
+    wanted = F.broadcast(picks.withColumn("_b", bucket(F.col("position"))))  # two rows a replicate
+    met = spans.join(wanted, "_b").where((F.col("position") >= F.col("before")) & (F.col("position") < F.col("before") + F.col("n")))
+    return met.select("rep", "which", F.col(value).cast("double").alias("v"))
 
 
 def bootstrap_ci(
-    df: DataFrame, value: str, key: str, reps: int = 1000, confidence: float = 0.95, seed: int = 1,
-    prob: float = 0.5, log_bins: int = 12,
+    df: DataFrame, value: str, reps: int = 1000, confidence: float = 0.95, seed: int = 1, prob: float = 0.5
 ) -> DataFrame:
     """Quantile of a column with its basic bootstrap interval.
 
-    Replicate r draws n rows: slot j takes the row at position ``hash(r, j) mod n`` in the order
-    of value and key. The replicate's quantile is then an order statistic of positions, so the
-    values themselves are needed only for the two positions each replicate ends up with.
+    A replicate's quantile lies between two neighbouring order statistics of n draws. Their positions come
+    from the law of order statistics, so the work is ``reps`` draws and one ranking of the distinct values.
     """
-    spark = df.sparkSession
-    known = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias(value))
+    known = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias(value))
     n = known.count()
     if n == 0:
         raise ValueError(f"{value} has no values to resample")
-    numbered = running_totals(known, [], [value, key], F.lit(1).cast("bigint"), value_bins(known, value), "position")
-
-    slots = spark.range(n * reps).select((F.col("id") % reps).alias("rep"), F.floor(F.col("id") / reps).alias("slot"))
-    draws = slots.select("rep", (seeded_hash(seed, "rep", "slot") % n).alias("position")).withColumn(
-        "bin", F.floor(F.col("position") * F.lit(2**log_bins) / F.lit(n)).cast("int")
-    )
-    per_bin = _cumulative(draws.groupBy("rep", "bin").agg(F.count("*").alias("n")), "rep")
     at = (n - 1) * prob
     lo, hi = int(at), min(int(at) + 1, n - 1)
-    wanted = per_bin.where((F.col("before") <= hi) & (F.col("before") + F.col("n") > lo)).select("rep", "bin", "before")
-    # at most two bins per replicate: a table of 2 * reps rows
-    inside = draws.join(F.broadcast(wanted), ["rep", "bin"]).groupBy("rep", "bin", "before", "position").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("rep", "bin").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = inside.withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(order), F.lit(0)))
-    picks = ranked.select(
-        "rep", "position",
-        ((F.col("first") <= lo) & (F.col("first") + F.col("n") > lo)).alias("is_lo"),
-        ((F.col("first") <= hi) & (F.col("first") + F.col("n") > hi)).alias("is_hi"),
-    ).where("is_lo or is_hi")
-    stats = (
-        numbered.join(F.broadcast(picks), "position").groupBy("rep")  # at most two picks per replicate
-        .agg(F.max(F.when(F.col("is_lo"), F.col(value))).alias("a"), F.max(F.when(F.col("is_hi"), F.col(value))).alias("b"))
-        .select((F.col("a") + (F.col("b") - F.col("a")) * (at - lo)).alias("stat"))
-    )
+    reps_table = df.sparkSession.range(reps).select(F.col("id").alias("rep"))
+    drawn = cut_lineage(order_statistics(reps_table, "rep", n, lo, hi, seed))
+    picks = drawn.select("rep", F.explode(F.array(
+        F.struct(F.lit("lo").alias("which"), F.col("lo").alias("position")), F.struct(F.lit("hi").alias("which"), F.col("hi").alias("position"))
+    )).alias("_p")).select("rep", "_p.*")
+    values = _at_positions(value_counts_before(known, [], value), value, picks, n)
+    ends = values.groupBy("rep").agg(F.max(F.when(F.col("which") == "lo", F.col("v"))).alias("a"), F.max(F.when(F.col("which") == "hi", F.col("v"))).alias("b"))
+    stats = ends.select((F.col("a") + (F.col("b") - F.col("a")) * (at - lo)).alias("stat"))
     observed = exact_quantiles(known, [], value, {"stat": prob}).scalar()
     tail = (1 - confidence) / 2
     # one number per replicate
@@ -76,39 +71,51 @@ def bootstrap_ci(
     return ends.select(observed.alias("stat"), (observed - F.col("d")[1]).alias("lo"), (observed - F.col("d")[0]).alias("hi"))
 
 
-def permutation_test(
-    df: DataFrame, group: str, value: str, key: str, reps: int = 10_000, seed: int = 1, a: str = "A", log_bins: int = 12
-) -> DataFrame:
+def chosen_sums(counts: DataFrame, value: str, size: int, reps: int, seed: int) -> DataFrame:
+    """``(rep, s)``: sums of ``size`` rows chosen without replacement from distinct values with counts ``n``.
+
+    The number chosen is split down a binary tree over the ordered values: at each node a hypergeometric draw says
+    how many fall to the left. Work is ``reps`` times distinct values at most; nodes that get nothing end there.
+    """
+    spark = counts.sparkSession
+    numbered = cut_lineage(row_numbers(counts.select(value, "n"), value, name="i"))
+    n_values = numbered.count()
+    height = max(0, n_values - 1).bit_length()
+    # three numbers a value: at most a few MB go to every task, larger trees are joined by shuffle
+    sent = F.broadcast if n_values <= BROADCAST_VALUES else lambda sizes: sizes
+    level = spark.range(reps).select(F.col("id").alias("rep"), F.lit(0).cast("bigint").alias("j"), F.lit(size).cast("bigint").alias("c"))
+    for h in range(height, 0, -1):
+        sizes = numbered.groupBy(F.shiftright("i", h).alias("j")).agg(
+            F.sum("n").alias("total"), F.sum(F.when(F.shiftright("i", h - 1) % 2 == 0, F.col("n")).otherwise(0)).alias("left")
+        )
+        split = hypergeometric(level.join(sent(sizes), "j"), "total", "left", "c", "got", seed, "rep", F.lit(h), "j")
+        sides = F.array(
+            F.struct((F.col("j") * 2).alias("j"), F.col("got").alias("c")), F.struct((F.col("j") * 2 + 1).alias("j"), (F.col("c") - F.col("got")).alias("c"))
+        )
+        level = split.select("rep", F.explode(sides).alias("_s")).select("rep", "_s.*").where("c > 0")
+        if h % CUT_EVERY == 1:
+            level = cut_lineage(level)
+    leaves = level.join(sent(numbered.select(F.col("i").alias("j"), F.col(value).alias("v"))), "j")
+    return leaves.groupBy("rep").agg(F.sum(F.col("c") * F.col("v")).alias("s"))
+
+
+def permutation_test(df: DataFrame, group: str, value: str, reps: int = 10_000, seed: int = 1, a: str = "A") -> DataFrame:
     """Share of random relabellings whose mean difference exceeds the observed one in size.
 
-    In each replicate rows are ordered by a hash and the first n_A form group A. All rows of the
-    bins before the cut are in A, so only the bin holding the cut is ordered.
+    A relabelling's mean depends only on how many rows of each distinct value form group A, and these counts
+    are drawn (``chosen_sums``). Rows with a null value or group count for neither group.
     """
-    rows = df.select(key, (F.col(group) == a).alias("_a"), F.col(value).cast("double").alias("_v"))
-    size = rows.agg(
-        F.count_if("_a").alias("na"), F.count_if(~F.col("_a")).alias("nb"), F.sum("_v").alias("total"),
-        F.sum(F.when(F.col("_a"), F.col("_v")).otherwise(0.0)).alias("sum_a"),
+    rows = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select((F.col(group) == a).alias("_a"), F.col(value).cast("double").alias("v"))
+    counts = cut_lineage(rows.groupBy("v").agg(F.count("*").alias("n"), F.count_if("_a").alias("n_a")))
+    size = counts.agg(
+        F.sum("n_a").alias("na"), F.sum(F.col("n") - F.col("n_a")).alias("nb"), F.sum(F.col("v") * F.col("n")).alias("total"),
+        F.sum(F.col("v") * F.col("n_a")).alias("sum_a"),
     ).first()
-    na, nb, total = size["na"], size["nb"], size["total"]
+    na, nb, total = size["na"] or 0, size["nb"] or 0, size["total"] or 0.0
     # |mean_a - mean_b| * na * nb, exact for whole numbers
     spread = lambda s: F.abs(s * F.lit(float(nb)) - (F.lit(total) - s) * F.lit(float(na)))
-
-    draws = rows.select(key, "_v", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")).withColumn(
-        "h", seeded_hash(seed, "rep", key)
-    ).withColumn("bin", hash_bin("h", log_bins))
-    per_bin = _cumulative(draws.groupBy("rep", "bin").agg(F.count("*").alias("n"), F.sum("_v").alias("s")), "rep")
-    full = per_bin.where(F.col("before") + F.col("n") <= na).groupBy("rep").agg(F.sum("s").alias("s"))
-    cut = per_bin.where((F.col("before") < na) & (F.col("before") + F.col("n") > na)).select(
-        "rep", "bin", (F.lit(na) - F.col("before")).alias("need")
-    )
-    order = Window.partitionBy("rep").orderBy("h", key)
-    partly = (
-        draws.join(F.broadcast(cut), ["rep", "bin"])  # at most one bin per replicate
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= F.col("need"))
-        .groupBy("rep").agg(F.sum("_v").alias("s"))
-    )
-    sums = full.unionByName(partly).groupBy("rep").agg(F.sum("s").alias("s"))
-    observed = spread(F.lit(size["sum_a"]))
+    observed = spread(F.lit(size["sum_a"] or 0.0))
+    sums = chosen_sums(counts, "v", na, reps, seed)
     return sums.agg(F.count_if(spread(F.col("s")) > observed).alias("n_above")).select(
         ratio(observed, F.lit(float(na) * nb)).alias("observed"), "n_above",
         (F.col("n_above") / F.lit(float(reps))).alias("p_value"),

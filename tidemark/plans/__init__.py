@@ -1,4 +1,4 @@
 """Registered queries; importing this package fills the registry."""
 
-from . import core, explore, graphs, learning, matching, shapes, sport  # noqa: F401
+from . import core, explore, files, graphs, learning, matching, shapes, sport  # noqa: F401
 from .registry import REGISTRY

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import numeric, text
 from ..functions.numeric import rounded
 from ..operators import relational as rel
 from ..operators.skew import widen
@@ -152,3 +153,79 @@ def station_period(t: Tables) -> DataFrame:
 @query("with_uuid")
 def with_uuid(t: Tables) -> DataFrame:
     return rel.with_uuid(rel.parse_access_log(si.log_lines(t)))
+
+
+#: The orders asked for, as a user passes them.
+WANTED_ORDERS = (1, 2, 3, 5, 32, 34, 65, 100, 640, 1001, 9_999, 14_000, 10**9)
+
+
+@query("orders_in_list", f"""
+    select o_orderkey, o_totalprice, part_names from orders join ({PARTS_SQL}) on l_orderkey = o_orderkey
+    where o_orderkey in {WANTED_ORDERS}""")
+def orders_in_list(t: Tables) -> DataFrame:
+    return rel.orders_parts(t.orders, t.lineitem, t.part, keys=WANTED_ORDERS)
+
+
+@query("temp_ranges", """
+    select h.date, h.station, h.value - l.value as range
+    from observations h join observations l using (station, date)
+    where h.observation = 'TMAX' and l.observation = 'TMIN' and h.qflag is null and l.qflag is null""", ("observations",))
+def temp_ranges(t: Tables) -> DataFrame:
+    return rel.temp_ranges(si.observations(t)).withColumnRenamed("_range", "range")
+
+
+@query("temp_range_hint", """
+    select date, station, r as range
+    from (select h.date, h.station, h.value - l.value as r, max(h.value - l.value) over (partition by h.date) as m
+          from observations h join observations l using (station, date)
+          where h.observation = 'TMAX' and l.observation = 'TMIN' and h.qflag is null and l.qflag is null)
+    where r = m""", ("observations",))
+def temp_range_hint(t: Tables) -> DataFrame:
+    return rel.argmax_ties_sql(rel.temp_ranges(si.observations(t)).withColumnRenamed("_range", "range"), ["date"], "range")
+
+
+@query("union_bag", "select c_nationkey as nation from customer union all select s_nationkey from supplier")
+def union_bag(t: Tables) -> DataFrame:
+    return rel.union_rows(t.customer.select(F.col("c_nationkey").alias("nation")), t.supplier.select(F.col("s_nationkey").alias("nation")))
+
+
+@query("min_numbers", r"""
+    select doc_id, list_min(list_transform(regexp_extract_all(text, '\d+'), lambda d: try_cast(d as bigint))) as n from documents""")
+def min_numbers(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", text.min_number("text").alias("n"))
+
+
+@query("clean_names", r"""
+    select p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') as name,
+           nullif(split_part(p_type, ' ', 2), '') as kind from part""")
+def clean_names(t: Tables) -> DataFrame:
+    spaced = F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit(" \t ")), F.lit(" "))
+    return t.part.select("p_partkey", text.clean_text(spaced).alias("name"), text.list_item("p_type", " ", 2).alias("kind"))
+
+
+@query("hour_labels", "select strftime(ts, '%Y%m%d-%H%M') as hour, count(*) as n from events group by 1")
+def hour_labels(t: Tables) -> DataFrame:
+    path = F.concat(F.lit("/counts/pagecounts-"), F.date_format("ts", "yyyyMMdd-HHmmss"), F.lit(".gz"))
+    return t.events.select(text.hour_label(path).alias("hour")).groupBy("hour").agg(F.count("*").alias("n"))
+
+
+@query("row_totals", "select l_orderkey, l_linenumber, round((l_quantity + l_extendedprice + l_tax) / 1000, 6) as thousands from lineitem")
+def row_totals(t: Tables) -> DataFrame:
+    total = numeric.total(["l_quantity", "l_extendedprice", "l_tax"], 1000.0)
+    return t.lineitem.select("l_orderkey", "l_linenumber", rounded(total).alias("thousands"))
+
+
+@query("turn_similarity", """
+    with w as (select conv_id, turn, list_distinct(string_split(text, ' ')) as words from conversations)
+    select a.conv_id, a.turn, round(len(list_intersect(a.words, b.words)) / len(list_distinct(list_concat(a.words, b.words)))::double, 6) as jaccard
+    from w a join w b on a.conv_id = b.conv_id and b.turn = a.turn + 1""")
+def turn_similarity(t: Tables) -> DataFrame:
+    words = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("words"))
+    after = words.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("words").alias("after"))
+    return words.join(after, ["conv_id", "turn"]).select("conv_id", "turn", rounded(numeric.jaccard("words", "after")).alias("jaccard"))
+
+
+@query("list_items", "select unnest(string_split(p_name, ' ')) as item, count(*) as n from part group by 1")
+def list_items(t: Tables) -> DataFrame:
+    listed = F.concat(F.lit("["), F.replace("p_name", F.lit(" "), F.lit(" , ")), F.lit("]"))
+    return t.part.select(F.explode(text.parse_list(listed)).alias("item")).groupBy("item").agg(F.count("*").alias("n"))

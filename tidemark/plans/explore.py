@@ -186,29 +186,84 @@ def chi_squared(t: Tables) -> DataFrame:
     return six(stats.chi_squared(si.search_log(t), "is_instructor", "search_ui"), "chi2")
 
 
+def uniform_sql(*parts: str) -> str:
+    return f"(({hash_sql(*parts)} >> 8)::double / (1::bigint << 52))"
+
+
+def gamma_sql(part: str, shape: str) -> str:
+    """First accepted of 32 tries a replicate, as (rep, g)."""
+    u = lambda k: uniform_sql("'7'", f"'{part}{k}'", "rep", "j")
+    return f"""
+        select rep, arg_min(v, j) * any_value(d) as g
+        from (select rep, j, d, x, w, power(x * c + 1, 3) as v
+              from (select rep, j, shape - 1.0::double / 3 as d, 1 / sqrt(9 * (shape - 1.0::double / 3)) as c,
+                           sqrt(-2 * ln(1 - {u(1)})) * cos({u(2)} * 2 * pi()) as x, 1 - {u(3)} as w
+                    from range({REPLICATES}) r(rep), range(32) t(j), (select {shape} as shape from n)))
+        where v > 0 and ln(w) < x * x * 0.5 + d - v * d + ln(v) * d group by rep"""
+
+
+REPLICATES, PERMUTATIONS = 1000, 10_000
+
+
 @query("bootstrap_median", f"""
     , numbered as (select current, row_number() over (order by current, pid) - 1 as position from properties),
-    picks as (select rep, {hash_sql("'7'", "rep", "slot")} % (select count(*) from properties) as position
-              from range(20) as r(rep), (select row_number() over () - 1 as slot from properties)),
-    stats as (select rep, median(current) as stat from picks join numbered using (position) group by rep),
+    n as (select count(*)::double as n, floor((count(*) - 1) * 0.5::double) + 1 as k, (count(*) - 1) * 0.5::double - floor((count(*) - 1) * 0.5::double) as f from properties),
+    a as ({gamma_sql("a", "k")}), b as ({gamma_sql("b", "n - k + 1")}),
+    first as (select rep, a.g / (a.g + b.g) as u from a join b using (rep)),
+    places as (select rep, f, least(n - 1, floor(u * n))::bigint as lo,
+                    case when k < n then least(n - 1, floor((1 - (1 - u) * power(1 - {uniform_sql("'7'", "'next'", "rep")}, 1 / (n - k))) * n))::bigint else least(n - 1, floor(u * n))::bigint end as hi
+             from first, n),
+    stats as (select rep, l.current + (h.current - l.current) * f as stat from places join numbered l on l.position = lo join numbered h on h.position = hi),
     observed as (select median(current) as o from properties)
     select round(o, 6) as stat, round(o - quantile_cont(stat - o, 0.975), 6) as lo, round(o - quantile_cont(stat - o, 0.025), 6) as hi
     from stats, observed group by o""", ("properties",))
 def bootstrap_median(t: Tables) -> DataFrame:
-    return six(resample.bootstrap_ci(si.properties(t), "current", "pid", reps=20, seed=7), "stat", "lo", "hi")
+    return six(resample.bootstrap_ci(si.properties(t), "current", reps=REPLICATES, seed=7), "stat", "lo", "hi")
+
+
+def log_factorial_sql(x: str) -> str:
+    z, s = f"({x} + 1)", f"({x} + 9)"
+    product = " * ".join([z, *[f"({x} + {i})" for i in range(2, 9)]])
+    return (f"(({s} - 0.5) * ln({s}) - {s} + 0.9189385332046727 + 1 / ({s} * 12) - 1 / ({s} ** 3 * 360) + 1 / ({s} ** 5 * 1260) "
+            f"- 1 / ({s} ** 7 * 1680) - ln({product}))")
+
+
+def log_choose_sql(n: str, k: str) -> str:
+    return f"({log_factorial_sql(n)} - {log_factorial_sql(k)} - {log_factorial_sql(f'({n} - {k})')})"
+
+
+def split_sql(h: int) -> str:
+    """Level ``h`` of the value tree split into level ``h - 1``: rows (rep, j, c)."""
+    log_f = lambda x: f"({log_choose_sql('k', x)} + {log_choose_sql('(n - k)', f'(c - {x})')})"
+    # a list of one value, so that a try's numbers are computed once
+    bits = lambda at: f"('0x' || substr(d, {at}, 13))::bigint::double / (1::bigint << 52)"
+    x = f"list_transform(list_transform([md5(concat_ws('-', '7', rep, {h}, j, t::bigint))], lambda d: [1 - {bits(1)}, 2 * ({bits(14)}) - 1]), lambda p: [floor(m + p[2] / (p[1] * f)), p[1]])[1]"
+    hit = f"list_transform([{x}], lambda q: case when q[1] >= lo and q[1] <= hi then case when {log_f('q[1]')} - top >= 2 * ln(q[2]) then q[1] end end)[1]"
+    found = f"list_reduce(list_concat([-1::double], list_transform(range(256), lambda i: i::double)), lambda a, t: case when a >= 0 then a else coalesce({hit}, -1) end)"
+    return f"""
+    s{h} as (select i >> {h} as j, sum(n)::double as n, sum(n) filter (((i >> {h - 1}) & 1) = 0)::double as k from counts group by 1),
+    m{h} as materialized (select *, {log_f('m')} as top, exp({log_f('m')} - {log_choose_sql('n', 'c')}) as f from (
+        select *, greatest(lo, least(hi, floor((c + 1) * (k + 1) / (n + 2)))) as m from (
+            select rep, j, c, n, k, greatest(0, c - (n - k))::double as lo, least(c, k) as hi from l{h} join s{h} using (j)))),
+    g{h} as materialized (select rep, j, c, case when lo = hi then lo else {found} end as got from m{h}),
+    l{h - 1} as (select rep, 2 * j as j, got as c from g{h} where got > 0 union all select rep, 2 * j + 1, c - got from g{h} where c > got)"""
+
+
+VALUE_LEVELS = 6  # of the checking SQL: up to 64 distinct values
 
 
 @query("permutation_test", f"""
     , size as (select count(*) filter (search_ui = 'A') as na, count(*) filter (search_ui = 'B') as nb,
                       sum(search_count)::double as total, sum(search_count) filter (search_ui = 'A')::double as sa from search_log),
-    ordered as (select rep, search_count, row_number() over (partition by rep order by {hash_sql("'7'", "rep", "user_id")}, user_id) as rn
-                from search_log, range(50) as r(rep)),
-    sums as (select rep, sum(search_count)::double as s from ordered, size where rn <= na group by rep),
+    counts as materialized (select v, n, row_number() over (order by v) - 1 as i from (select search_count as v, count(*) as n from search_log group by 1)),
+    l{VALUE_LEVELS} as (select rep, 0::bigint as j, na::double as c from range({PERMUTATIONS}) r(rep), size),
+    {", ".join(split_sql(h) for h in range(VALUE_LEVELS, 0, -1))},
+    sums as (select rep, sum(c * v)::double as s from l0 join counts on i = j group by rep),
     spread as (select abs(s * nb - (total - s) * na) as d, abs(sa * nb - (total - sa) * na) as o, na, nb from sums, size)
-    select round(any_value(o / na / nb), 6) as observed, count(*) filter (d > o) as n_above, count(*) filter (d > o) / 50.0::double as p_value
+    select round(any_value(o / na / nb), 6) as observed, count(*) filter (d > o) as n_above, count(*) filter (d > o) / {PERMUTATIONS}::double as p_value
     from spread""", ("search_log",))
 def permutation_test(t: Tables) -> DataFrame:
-    return six(resample.permutation_test(si.search_log(t), "search_ui", "search_count", "user_id", reps=50, seed=7), "observed")
+    return six(resample.permutation_test(si.search_log(t), "search_ui", "search_count", reps=PERMUTATIONS, seed=7), "observed")
 
 
 @query("train_split", f"""

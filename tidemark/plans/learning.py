@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.colour import rgb_to_lab
 from ..functions.hashing import hash_sql
 from ..functions.numeric import rounded
-from ..operators import explain, features, metrics, models
+from ..operators import explain, features, metrics, models, trees
 from ..operators.relational import with_previous_day
 from ..operators.resample import hash_split
 from ..session import cut_lineage
@@ -221,6 +223,14 @@ def forecast_model(t: Tables) -> DataFrame:
     return scored.select("station", "date", "tmax", "prediction")
 
 
+@query("forecast_place_only")
+def forecast_place_only(t: Tables) -> DataFrame:
+    """The forecast without the day before, from place and day of the year; days after a gap count too."""
+    days = cut_lineage(hash_split(si.daily_max(t), ["station", "date"], 0.75, 1))
+    model = models.train_forecast(days.where(F.col("part") == "train"), with_yesterday=False)
+    return models.score(model, days.where(F.col("part") == "validation")).select("station", "date", "tmax", "prediction")
+
+
 def words(t: Tables) -> DataFrame:
     r, g, b = F.col("R"), F.col("G"), F.col("B")
     word = F.when((r > g) & (r > b), "red").when((g > r) & (g > b), "green").when((b > r) & (b > g), "blue").otherwise("grey")
@@ -237,7 +247,7 @@ def colour_model(t: Tables) -> DataFrame:
 
 @query("predict_grid")
 def predict_grid(t: Tables) -> DataFrame:
-    return models.predict_grid(models.train_colours(words(t)), t.spark, resolution=64)
+    return models.predict_grid(models.train_colours(words(t)), t.spark, resolution=256)
 
 
 @query("value_band_model")
@@ -336,8 +346,65 @@ def surrogate(t: Tables) -> DataFrame:
 
 @query("shapley")
 def shapley(t: Tables) -> DataFrame:
+    """Exact shares of all 64 columns in the raw margin of the boosted trees, for every row."""
     data = rows(t)
-    return explain.shapley(black(data), data, data, NAMES, samples=5)
+    return trees.tree_shapley(trees.model_nodes(black(data)), data, NAMES)
+
+
+#: Two small trees: (feature, threshold, left, right, training rows) of a split, (value, training rows) of a leaf.
+FIXED_TREES = (
+    (0, 10.0, (1, 3.0, (2.0, 300), (-1.0, 100), 400), (0, 20.0, (0.5, 150), (4.0, 450), 600), 1000),
+    (2, 0.0, (0.25, 200), (1, -2.0, (-3.0, 80), (2, 5.0, (1.5, 220), (-0.75, 500), 720), 800), 1000),
+)
+FIXED_NAMES = NAMES[:3]
+
+
+def fixed_nodes() -> list[trees.Node]:
+    found: list[trees.Node] = []
+
+    def add(tree: int, shape: tuple, node: int, used: list[int]) -> None:
+        if len(shape) == 2:
+            found.append(trees.Node(tree, node, None, None, None, None, None, float(shape[1]), shape[0]))
+            return
+        feature, threshold, left, right, cover = shape
+        a, b = used[0], used[0] + 1
+        used[0] += 2
+        found.append(trees.Node(tree, node, feature, threshold, None, a, b, float(cover), 0.0))
+        add(tree, left, a, used)
+        add(tree, right, b, used)
+
+    for number, shape in enumerate(FIXED_TREES):
+        add(number, shape, 0, [1])
+    return found
+
+
+def known_sql(shape: tuple, known: frozenset) -> str:
+    """Expected value of a tree when only some features are known."""
+    if len(shape) == 2:
+        return f"({shape[0]})::double"
+    feature, threshold, left, right, cover = shape
+    a, b = known_sql(left, known), known_sql(right, known)
+    if feature in known:
+        return f"case when {FIXED_NAMES[feature]} <= {threshold} then {a} else {b} end"
+    return f"({left[-1]} / {cover}::double * ({a}) + {right[-1]} / {cover}::double * ({b}))"
+
+
+def attribution_sql(j: int) -> str:
+    """Weighted gains over all sets of the other features."""
+    parts, others = [], [k for k in range(3) if k != j]
+    for size, weight in ((0, 1 / 3), (1, 1 / 6), (2, 1 / 3)):
+        for chosen in combinations(others, size):
+            for tree in FIXED_TREES:
+                parts.append(f"({weight!r} * (({known_sql(tree, frozenset(chosen) | {j})}) - ({known_sql(tree, frozenset(chosen))})))")
+    return " + ".join(parts)
+
+
+@query("tree_attributions", " union all ".join(
+    f"select id, '{n}' as feature, round({attribution_sql(j)}, 6) + 0.0 as share, round({' + '.join(known_sql(t, frozenset()) for t in FIXED_TREES)}, 6) as base from cover"
+    for j, n in enumerate(FIXED_NAMES)), ("cover",))
+def tree_attributions(t: Tables) -> DataFrame:
+    found = trees.tree_shapley(fixed_nodes(), explain.feature_rows(si.cover(t), "id", "label", FIXED_NAMES), FIXED_NAMES)
+    return found.withColumns({"share": rounded(F.col("share")), "base": rounded(F.col("base"))})
 
 
 @query("local_surrogate")

@@ -175,6 +175,18 @@ def propensity_scores(t: Tables) -> DataFrame:
     return causal.propensity_scores(si.programme(t), "treat", COVARIATES).select("id", "treat", "score")
 
 
+@query("propensity_effect")
+def propensity_effect(t: Tables) -> DataFrame:
+    """Fit on all covariates, then match on the fitted score."""
+    return causal.propensity_effect(si.programme(t), "treat", "outcome", COVARIATES, "id", 0.01)
+
+
+@query("confounder_match")
+def confounder_match(t: Tables) -> DataFrame:
+    """The same with the named confounders only."""
+    return causal.propensity_effect(si.programme(t), "treat", "outcome", ["nation", "n_orders"], "id", 0.01)
+
+
 @query("two_model_effect")
 def two_model_effect(t: Tables) -> DataFrame:
     return causal.two_model_effect(si.programme(t), "treat", "outcome", COVARIATES)
