@@ -218,7 +218,7 @@ def test_tree_shares_equal_the_sum_over_subsets(spark, kind):
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
     rng = np.random.default_rng(6)
-    data = [(i, float(a * b > 0) + 0.2 * c + (d == 2), [float(a), float(b), float(c), float(d)]) for i, (a, b, c, d) in enumerate(zip(*rng.normal(size=(3, 400)), rng.integers(0, 4, 400)))]
+    data = [(i, float(float(a * b > 0) + 0.2 * c + (d == 2)), [float(a), float(b), float(c), float(d)]) for i, (a, b, c, d) in enumerate(zip(*rng.normal(size=(3, 400)), rng.integers(0, 4, 400)))]
     df = spark.createDataFrame(data, "id long, label double, x array<double>")
     vectors = explain.with_vector(df)
     if kind == "categories":
@@ -293,3 +293,42 @@ def test_links_in_every_quoting(spark):
     df = spark.createDataFrame([(1, "https://h.org/d/e?x=1#f", html)], "page_id long, url string, html string")
     assert rows(pages.page_links(df)) == [(1, "/p", "https://h.org/p"), (1, "/q", "https://h.org/q"), (1, "/r", "https://h.org/r")]
     assert pages.page_fields(df).first()["n_links"] == 3
+
+
+def brute_match(rows, radius):
+    """Controls with the nearest treated score; ties by the smaller id."""
+    treated = {}
+    for i, t, y, s in sorted(r for r in rows if r[1] == 1):
+        treated.setdefault(s, (i, y))
+    out = []
+    for _, t, y, s in rows:
+        if t == 0 and treated:
+            d, m = min((abs(x - s), m) for x, m in treated.items())
+            if d <= radius:
+                out.append(m[1] - y)
+    return len(out), (sum(out) / len(out) if out else None)
+
+
+@pytest.mark.parametrize("radius", [0.004, 1e9])
+def test_sorted_match_equals_all_pairs(spark, radius):
+    rng = random.Random(8)
+    rows = [(i, rng.randint(0, 1), float(rng.randint(0, 50)), rng.choice([0.5, round(rng.random(), 3)])) for i in range(600)]
+    rows += [(1000 + i, 0, 1.0, 5.0 + i) for i in range(40)] + [(2000, 1, 9.0, 100.0)]  # a stretch without treated points
+    df = spark.createDataFrame(rows, "id long, treat int, outcome double, score double").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = causal.propensity_match_effect(df, "treat", "outcome", "score", "id", radius).first()
+        n, effect = brute_match(rows, radius)
+        assert got["n_matched"] == n and got["effect"] == pytest.approx(effect)
+        assert causal.propensity_match_effect(df.where("treat = 0"), "treat", "outcome", "score", "id", radius).first()["n_matched"] == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_fitted_score_match_equals_all_pairs_of_the_written_scores(spark, tables):
+    df = si.programme(tables)
+    confounders = ["nation", "n_orders"]
+    scored = causal.propensity_scores(df, "treat", confounders).select("id", "treat", "outcome", "score").collect()
+    n, effect = brute_match([tuple(r) for r in scored], 0.01)
+    got = causal.propensity_effect(df, "treat", "outcome", confounders, "id", 0.01).first()
+    assert got["n_matched"] == n and got["effect"] == pytest.approx(effect)

@@ -5,16 +5,17 @@ A draw depends only on its seed and key: the same on every run, partitioning and
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_uniform
 
 GAMMA_TRIES = 32  # each is taken with at least 0.95
-COUNT_TRIES = 256  # each is taken with 1/4
 
 
 def gamma_draws(keys: DataFrame, key: str, shape: float, seed: int, part: str) -> DataFrame:
@@ -52,55 +53,63 @@ def order_statistics(keys: DataFrame, key: str, n: int, lo: int, hi: int, seed:
     return both.select(key, place("u").alias("lo"), place("w").alias("hi"))
 
 
-def log_factorial(x: Column) -> Column:
+def log_factorial(x: np.ndarray) -> np.ndarray:
     """ln x! by Stirling's series eight places further up."""
     z = x + 1.0
     s = z + 8.0
-    product = z
+    product = z.copy()
     for i in range(1, 8):
-        product = product * (z + float(i))
-    series = 1.0 / (s * 12.0) - 1.0 / (s * s * s * 360.0) + 1.0 / (s * s * s * s * s * 1260.0) - 1.0 / (s * s * s * s * s * s * s * 1680.0)
-    return (s - 0.5) * F.log(s) - s + 0.9189385332046727 + series - F.log(product)
+        product *= z + float(i)
+    return (s - 0.5) * np.log(s) - s + 0.9189385332046727 + 1 / (s * 12) - 1 / (s**3 * 360) + 1 / (s**5 * 1260) - 1 / (s**7 * 1680) - np.log(product)
 
 
-def _log_choose(n: Column, k: Column) -> Column:
+def log_choose(n: np.ndarray, k: np.ndarray) -> np.ndarray:
     return log_factorial(n) - log_factorial(k) - log_factorial(n - k)
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once inside a lambda."""
-    return F.transform(F.array(value), use)[0]
+def _two_uniforms(text: str) -> tuple[float, float]:
+    digest = hashlib.md5(text.encode()).hexdigest()
+    return int(digest[:13], 16) / 2.0**52, int(digest[13:26], 16) / 2.0**52
 
 
-def hypergeometric(df: DataFrame, total: str, left: str, drawn: str, name: str, seed: int, *key: str | Column) -> DataFrame:
-    """Add how many of ``drawn`` rows taken from ``total`` fall among ``left`` of them, without replacement.
+def draw_counts(n: np.ndarray, k: np.ndarray, c: np.ndarray, keys: list[str]) -> np.ndarray:
+    """How many of ``c`` taken from ``n`` fall among ``k`` of them, one draw a key.
 
     Ratio of uniforms for a log-concave law with mode m: the histogram of f lies within heights up to root f(m) and
     widths up to 1 / root f(m) on both sides, because a log-concave run between m and k holds at least the geometric
     mean of its ends on average. So one rule covers every size, and a try is taken with 1/4.
     """
-    n, k, c = (F.col(x).cast("double") for x in (total, left, drawn))
-    log_f = lambda x: _log_choose(F.col("_k"), x) + _log_choose(F.col("_n") - F.col("_k"), F.col("_c") - x)
-    rows = df.withColumns({"_n": n, "_k": k, "_c": c})
-    rows = rows.withColumns({
-        "_lo": F.greatest(F.lit(0.0), F.col("_c") - (F.col("_n") - F.col("_k"))), "_hi": F.least("_c", "_k"),
-        "_m": F.floor((F.col("_c") + 1.0) * (F.col("_k") + 1.0) / (F.col("_n") + 2.0)).cast("double"),
-    }).withColumns({"_m": F.greatest("_lo", F.least("_hi", "_m"))})
-    rows = rows.withColumn("_top", log_f(F.col("_m"))).withColumn("_f", F.exp(F.col("_top") - _log_choose(F.col("_n"), F.col("_c"))))
-    text = F.concat_ws("-", F.lit(str(seed)), *[(F.col(x) if isinstance(x, str) else x).cast("string") for x in key])
+    log_f = lambda at, x: log_choose(k[at], x) + log_choose(n[at] - k[at], c[at] - x)
+    low, high = np.maximum(0.0, c - (n - k)), np.minimum(c, k)
+    mode = np.clip(np.floor((c + 1.0) * (k + 1.0) / (n + 2.0)), low, high)
+    every = np.arange(len(n))
+    top = log_f(every, mode)
+    peak = np.exp(top - log_choose(n, c))
+    out, open_ = low.copy(), np.flatnonzero(low < high)
+    attempt = 0
+    while len(open_):
+        pairs = np.array([_two_uniforms(f"{keys[i]}-{attempt}") for i in open_])
+        u, v = 1.0 - pairs[:, 0], pairs[:, 1] * 2.0 - 1.0
+        x = np.floor(mode[open_] + v / (u * peak[open_]))
+        inside = (x >= low[open_]) & (x <= high[open_])
+        tried = np.where(inside, x, mode[open_])
+        taken = inside & (log_f(open_, tried) - top[open_] >= 2.0 * np.log(u))
+        out[open_[taken]] = x[taken]
+        open_ = open_[~taken]
+        attempt += 1
+    return out
+
 
-    def attempt(j: Column) -> Column:
-        digest = F.md5(F.concat_ws("-", text, j.cast("string")))
-        uniform = lambda h, at: F.conv(F.substring(h, at, 13), 16, 10).cast("bigint").cast("double") / float(1 << 52)
-        pair = _once(digest, lambda h: F.struct((F.lit(1.0) - uniform(h, 1)).alias("u"), (uniform(h, 14) * 2.0 - 1.0).alias("v")))
+def hypergeometric(df: DataFrame, total: str, left: str, drawn: str, name: str, seed: int, *key: str | Column) -> DataFrame:
+    """Add how many of ``drawn`` rows taken from ``total`` fall among ``left`` of them, without replacement.
 
-        def judged(p: Column) -> Column:
-            x = F.floor(F.col("_m") + p["v"] / (p["u"] * F.col("_f"))).cast("double")
-            inside = lambda x: F.when((x >= F.col("_lo")) & (x <= F.col("_hi")), F.when(log_f(x) - F.col("_top") >= F.log(p["u"]) * 2.0, x))
-            return _once(x, inside)
+    Tries differ in number from row to row, so they are made in Arrow batches, each for the rows still open.
+    """
+    text = F.concat_ws("-", F.lit(str(seed)), *[(F.col(x) if isinstance(x, str) else x).cast("string") for x in key])
 
-        return _once(pair, judged)
+    @F.pandas_udf("bigint")
+    def drawn_of(n: pd.Series, k: pd.Series, c: pd.Series, keys: pd.Series) -> pd.Series:
+        numbers = (x.to_numpy(dtype=np.float64, copy=True) for x in (n, k, c))
+        return pd.Series(draw_counts(*numbers, keys.tolist()).astype(np.int64))
 
-    found = F.aggregate(F.sequence(F.lit(0), F.lit(COUNT_TRIES - 1)), F.lit(None).cast("double"), lambda a, j: F.coalesce(a, attempt(j)))
-    settled = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(found)
-    return rows.withColumn(name, settled.cast("bigint")).drop("_n", "_k", "_c", "_lo", "_hi", "_m", "_top", "_f")
+    return df.withColumn(name, drawn_of(total, left, drawn, text))

@@ -22,6 +22,7 @@ from .skew import all_salts, hot_hashes, salt_of, salted_join
 
 COMPACT_EVERY = 8
 EDGES_PER_TASK = 20_000  # a small graph does not need every task of the cluster
+PUSHES = 4  # rounds of a ranking between two looks at what is left
 MESSAGES = 50_000_000  # rows that one round of a block of sources may send
 
 
@@ -118,9 +119,12 @@ class SpreadEdges:
 def spread(edges: DataFrame, share: float = 0.002) -> SpreadEdges:
     """Lay edges out once; a hub holds about ``share`` of them, so there are few."""
     edges = cut_lineage(edges.where("src is not null and dst is not null").select("src", "dst").distinct())
-    hubs = hot_hashes(edges, ["src"], share)
+    n = edges.count()
+    # the one-pass summary also names rare vertices, whose copies every round would carry
+    seen = edges.select(F.xxhash64("src").alias("h")).where(F.col("h").isin(hot_hashes(edges, ["src"], share))).groupBy("h").count()
+    hubs = [r["h"] for r in seen.where(F.col("count") >= max(2.0, share * n)).collect()]
     most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    width = min(most, edges.count() // EDGES_PER_TASK + 1)
+    width = min(most, n // EDGES_PER_TASK + 1)
     laid = edges.withColumn("_salt", salt_of(["src"], hubs, ["dst"])).repartition(width, "src", "_salt")
     return SpreadEdges(laid.persist(StorageLevel.MEMORY_AND_DISK), hubs)
 
@@ -262,21 +266,27 @@ def _settle(graph: SpreadEdges, nodes: DataFrame, damping: float, tolerance: flo
         return nodes.select("id", F.lit(None).cast("double").alias("rank"))
     start = F.col("out") / F.lit(float(total)) if total else F.lit(1.0 / n)
     base, least = (1.0 - damping) / n, tolerance / n
-    state = nodes.select("id", "out", start.alias("rank"), (F.lit(base) - start).alias("residual"), start.alias("sent"))
-    lost = 0.0 if total else 1.0
-    while True:
+    state = nodes.select("id", F.col("out").cast("bigint").alias("out"), start.alias("rank"), (F.lit(base) - start).alias("residual"), start.alias("sent"))
+    zero, none = F.lit(0.0), F.lit(None).cast("bigint")
+
+    def push(state: DataFrame, lost: float) -> DataFrame:
         moved = graph.follow(state.where("sent <> 0 and out > 0").select("id", (F.col("sent") / F.col("out") * damping).alias("c")), "id")
-        zero, none = F.lit(0.0), F.lit(None).cast("bigint")
-        parts = state.select("id", F.col("out").cast("bigint").alias("out"), "rank", "residual").unionByName(
+        parts = state.select("id", "out", "rank", "residual").unionByName(
             moved.select(F.col("dst").alias("id"), none.alias("out"), zero.alias("rank"), F.col("c").alias("residual"))
         )
         # a vertex outside ``nodes`` gets parts but has no row of its own
         added = parts.groupBy("id").agg(F.max("out").alias("out"), F.sum("rank").alias("rank"), (F.sum("residual") + lost * damping / n).alias("r")).where("out is not null")
         loud = F.abs("r") > least
-        state = cut_lineage(added.select(
+        return added.select(
             "id", "out", F.when(loud, F.col("rank") + F.col("r")).otherwise(F.col("rank")).alias("rank"),
             F.when(loud, zero).otherwise(F.col("r")).alias("residual"), F.when(loud, F.col("r")).otherwise(zero).alias("sent"),
-        ))
+        )
+
+    lost = 0.0 if total else 1.0
+    together = 1 if facts["dead"] else PUSHES  # what dead ends lose must be known after every round
+    while True:
+        for _ in range(together):
+            state = cut_lineage(push(state, lost))
         now = state.agg(F.count_if(F.col("sent") != 0).alias("loud"), F.coalesce(F.sum(F.when(F.col("out") == 0, F.col("sent"))), F.lit(0.0)).alias("lost")).first()
         if not now["loud"]:
             return state.select("id", "rank")

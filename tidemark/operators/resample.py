@@ -13,7 +13,7 @@ from ..functions.hashing import seeded_hash, seeded_uniform
 from ..functions.numeric import ratio
 from ..session import cut_lineage
 from .draws import hypergeometric, order_statistics
-from .ranks import exact_quantiles, row_numbers, value_counts_before
+from .ranks import row_numbers, value_counts_before
 
 PICK_BUCKETS = 4096
 BROADCAST_VALUES = 100_000
@@ -56,18 +56,20 @@ def bootstrap_ci(
         raise ValueError(f"{value} has no values to resample")
     at = (n - 1) * prob
     lo, hi = int(at), min(int(at) + 1, n - 1)
-    reps_table = df.sparkSession.range(reps).select(F.col("id").alias("rep"))
-    drawn = cut_lineage(order_statistics(reps_table, "rep", n, lo, hi, seed))
-    picks = drawn.select("rep", F.explode(F.array(
+    spark = df.sparkSession
+    drawn = order_statistics(spark.range(reps).select(F.col("id").alias("rep")), "rep", n, lo, hi, seed)
+    # replicate -1 is the sample itself
+    own = spark.range(1).select(F.lit(-1).cast("bigint").alias("rep"), F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi"))
+    picks = cut_lineage(drawn.unionByName(own)).select("rep", F.explode(F.array(
         F.struct(F.lit("lo").alias("which"), F.col("lo").alias("position")), F.struct(F.lit("hi").alias("which"), F.col("hi").alias("position"))
     )).alias("_p")).select("rep", "_p.*")
     values = _at_positions(value_counts_before(known, [], value), value, picks, n)
     ends = values.groupBy("rep").agg(F.max(F.when(F.col("which") == "lo", F.col("v"))).alias("a"), F.max(F.when(F.col("which") == "hi", F.col("v"))).alias("b"))
-    stats = ends.select((F.col("a") + (F.col("b") - F.col("a")) * (at - lo)).alias("stat"))
-    observed = exact_quantiles(known, [], value, {"stat": prob}).scalar()
+    stats = cut_lineage(ends.select("rep", (F.col("a") + (F.col("b") - F.col("a")) * (at - lo)).alias("stat")))
+    observed = F.lit(stats.where("rep = -1").first()["stat"])
     tail = (1 - confidence) / 2
     # one number per replicate
-    ends = stats.agg(F.percentile(F.col("stat") - observed, F.array(F.lit(tail), F.lit(1 - tail))).alias("d"))
+    ends = stats.where("rep >= 0").agg(F.percentile(F.col("stat") - observed, F.array(F.lit(tail), F.lit(1 - tail))).alias("d"))
     return ends.select(observed.alias("stat"), (observed - F.col("d")[1]).alias("lo"), (observed - F.col("d")[0]).alias("hi"))
 
 
