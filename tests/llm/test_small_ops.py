@@ -384,6 +384,33 @@ def test_secrets_fit_finds_a_rare_kind(make):
     assert formats.kinds["access"] == secrets.infer([k.translate(secrets._TO_CLASS) for k in best])
 
 
+CLEAN = "1234567890123 9780306406157 978-0-306-40615-7 20200101123456 550e8400-e29b-41d4-a716-446655440000 ABCDEFGHIJKL OFTHONRETION SCHLICHCHKEIT 2020-01-01T12:34:56 www.example.com/en/196/ well-known-words"
+
+
+def test_secrets_learnt_from_the_table_do_not_depend_on_its_split(spark, make):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models = [secrets.fit(table.repartition(n)) for n in (1, 4, 16)]
+    assert models[0] == models[1] == models[2]
+    found = [r for r in secrets.scan(table, models[0]).collect() if "format" in r["spans"]]
+    held = {r["doc_id"]: r["text"] for r in table.collect()}
+    marked = [held[r["doc_id"]][int(x.split(":")[1]) : int(x.split(":")[2])] for r in found for x in r["spans"].split(",") if x.startswith("format")]
+    assert not [m for m in marked if m.isalpha() or m.isdigit()]
+    assert secrets.redact(CLEAN, models[0]) == CLEAN
+
+
+def test_secrets_of_a_labelled_format_are_found_unlabelled(docs, make):
+    rng = random.Random(1)
+    key = lambda: "-".join("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(5)) for _ in range(4))
+    labelled = [(20_000 + i, f"set token: {key()} now") for i in range(200)]
+    plain = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    formats = secrets.fit(make(*plain, *labelled))
+    planted = [key() for _ in range(20)]
+    rows = make((1, CLEAN), *((10 + i, f"the words {p} stand here") for i, p in enumerate(planted)))
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(rows, formats).collect()}
+    assert got[1] == "" and secrets.redact(CLEAN, formats) == CLEAN
+    assert sum(got[10 + i] == f"format:10:{10 + len(p)}" for i, p in enumerate(planted)) >= 19
+
+
 def test_secrets_odd_rows(make):
     got = secrets.scan(make(*ODD), secrets.fit(make(*ODD))).collect()
     assert len(got) == len(ODD) and all(r["spans"] == "" and r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in got)

@@ -65,23 +65,29 @@ def credentials(text: str) -> list[tuple[str, str]]:
 
 @dataclass
 class Automaton:
-    """Deterministic probabilistic automaton over character classes."""
+    """Deterministic probabilistic automaton over character classes; every state can give every class."""
 
     next: list[dict[str, int]] = field(default_factory=list)
     logp: list[dict[str, float]] = field(default_factory=list)
 
-    def score(self, symbols: str) -> float:
-        """Log-likelihood of a string; a symbol never seen in a state costs ``FLOOR``."""
+    def score(self, symbols: str, plain: Sequence[float]) -> float:
+        """Log-likelihood ratio of a string against ``plain``, the log-probabilities of its symbols as a word.
+
+        A symbol never seen in a state leads out of the automaton; what follows is likelier in a word by ``LOST`` a symbol.
+        """
         state, total = 0, 0.0
-        for c in symbols:
-            total += self.logp[state].get(c, FLOOR)
+        for i, c in enumerate(symbols):
+            total += self.logp[state][c] - plain[i]
             state = self.next[state].get(c, -1)
             if state < 0:
-                return total + FLOOR * (len(symbols) / 4)
-        return total + self.logp[state].get(END, FLOOR)
+                return total + LOST * (len(symbols) - i - 1)
+        return total
 
 
-FLOOR = log(1e-4)
+LOST = log(0.1)
+#: Added to every class's count in a state, and to every length's.
+SMOOTH = 0.1
+LONGEST = 256
 
 
 def infer(examples: Sequence[str], alpha: float = ALPHA) -> Automaton:
@@ -146,29 +152,37 @@ def infer(examples: Sequence[str], alpha: float = ALPHA) -> Automaton:
         blue = [(r, c) for r in red for c in sorted(children[r]) if children[r][c] not in red]
     number = {r: i for i, r in enumerate(red)}
     out = Automaton()
+    every = CLASSES + END
     for r in red:
-        n = sum(counts[r].values()) + 1e-9
+        n = sum(counts[r].values()) + SMOOTH * len(every)
         out.next.append({c: number[t] for c, t in children[r].items()})
-        out.logp.append({c: log(k / n) for c, k in counts[r].items()})
+        out.logp.append({c: log((counts[r].get(c, 0) + SMOOTH) / n) for c in every})
     return out
 
 
+def lengths(values: Sequence[str]) -> list[float]:
+    """Smoothed log-probability of each length; those of ``LONGEST`` and more count as one."""
+    n = np.bincount([min(len(v), LONGEST) for v in values], minlength=LONGEST + 1) + SMOOTH
+    return np.log(n / n.sum()).tolist()
+
+
 @dataclass
 class Formats:
     """An automaton for each kind of credential and one for ordinary candidates."""
 
     kinds: dict[str, Automaton]
     ordinary: dict[str, float]
+    #: Log-probabilities of lengths by kind, and of words under ``word``; without them lengths do not count.
+    sizes: dict[str, list[float]] = field(default_factory=dict)
 
     def rate(self, value: str) -> tuple[float, str]:
-        """Mean log-likelihood ratio a symbol of the likeliest kind, and that kind."""
+        """Mean log-likelihood ratio a symbol of the likeliest kind, its length counted, and that kind."""
         x = value.translate(_TO_CLASS)
-        plain, last = 0.0, "^"
-        for c in x:
-            plain += self.ordinary.get(last + c, FLOOR)
-            last = c
-        best = max(((a.score(x), k) for k, a in self.kinds.items()), default=(float("-inf"), ""))
-        return (best[0] - plain) / max(1, len(x)), best[1]
+        plain = [self.ordinary[a + b] for a, b in zip("^" + x, x)]
+        size = min(len(x), LONGEST)
+        long = {k: self.sizes[k][size] - self.sizes["word"][size] if k in self.sizes else 0.0 for k in self.kinds}
+        best = max(((a.score(x, plain) + long[k], k) for k, a in self.kinds.items()), default=(float("-inf"), ""))
+        return best[0] / max(1, len(x)), best[1]
 
 
 def bigrams(words: Sequence[str]) -> dict[str, float]:
@@ -186,14 +200,17 @@ def bigrams(words: Sequence[str]) -> dict[str, float]:
 
 
 WORD = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+#: How dates, times, book and telephone numbers are written, 0 for any digit.
+NUMBERS = ("0000-00-00", "00.00.0000", "00/00/0000", "0000-00-00T00", "000-0-000-00000-0", "0-000-00000-0", "00-000-000-0000")
 
 
 def fit(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_examples: int = MAX_EXAMPLES) -> Formats:
     """Formats from the credentials that the fixed patterns label in all documents.
 
     At most ``max_examples`` distinct values a kind, those of smallest hash, leave a task and reach the driver, so a
-    rare kind is learnt from all that there is of it. Ordinary words come from about ``max_docs`` documents chosen by
-    a hash of their text.
+    rare kind is learnt from all that there is of it. Ordinary words are those of smallest hash in about ``max_docs`` documents
+    chosen by a hash of their text, so neither depends on how the rows are split. A word also stands for itself in
+    capitals and for a number of its length, which texts hold less often but which are as ordinary, as are ``NUMBERS``.
     """
     texts = docs.select("text").where("text is not null")
     total = texts.count()
@@ -212,9 +229,11 @@ def fit(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_examples: int = MAX
                     found[kind].add(value)
                     if len(found[kind]) > 4 * max_examples:
                         found[kind] = set(least(found[kind]))
-                if sampled and len(found["word"]) < max_examples:
+                if sampled:
                     secret = {v for _, v in values}
                     found["word"].update(w for w in WORD.findall(text) if w not in secret and not any(s in w for s in secret))
+                    if len(found["word"]) > 4 * max_examples:
+                        found["word"] = set(least(found["word"]))
         rows = [(k, v) for k, vs in found.items() for v in least(vs)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["kind", "value"])
@@ -222,7 +241,8 @@ def fit(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_examples: int = MAX
     found = stored(marked.mapInArrow(gather, "kind string, value string").distinct())
     values = {k: [r[0] for r in found.where(F.col("kind") == k).select("value").orderBy(F.md5("value"), "value").limit(max_examples).collect()] for k in (*KINDS, "word")}
     kinds = {k: infer([v.translate(_TO_CLASS) for v in values[k]]) for k in KINDS if values[k]}
-    return Formats(kinds, bigrams(values["word"]))
+    ordinary = [x for w in values["word"] for x in (w, w.upper(), "0" * len(w))] + [n for n in NUMBERS for _ in range(1 + len(values["word"]) // 8)]
+    return Formats(kinds, bigrams(ordinary), {k: lengths(values[k]) for k in (*kinds, "word")})
 
 
 def learnt_spans(formats: Formats, text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
