@@ -187,14 +187,35 @@ def confounder_match(t: Tables) -> DataFrame:
     return causal.propensity_effect(si.programme(t), "treat", "outcome", ["nation", "n_orders"], "id", 0.01)
 
 
-@query("two_model_effect")
+# Least squares by taking the covariates out of each other in turn; ``g`` names the rows that a model is fitted on.
+STEPS_SQL = """
+    , m as (select g, avg(nation) as mn, avg(n_orders) as mo, avg(balance) as mb, avg(outcome) as my, avg(treat) as mt from fitted group by g),
+    r1 as (select f.g, nation - mn as q1, n_orders - mo as o0, balance - mb as b0, outcome - my as y0, treat - mt as t0 from fitted f join m on f.g = m.g),
+    k1 as (select g, sum(o0 * q1) / sum(q1 * q1) as a21, sum(b0 * q1) / sum(q1 * q1) as a31, sum(t0 * q1) / sum(q1 * q1) as t1, sum(y0 * q1) / sum(q1 * q1) as c1 from r1 group by g),
+    r2 as (select r1.*, o0 - a21 * q1 as q2 from r1 join k1 using (g)),
+    k2 as (select g, sum(b0 * q2) / sum(q2 * q2) as a32, sum(t0 * q2) / sum(q2 * q2) as t2, sum(y0 * q2) / sum(q2 * q2) as c2 from r2 group by g),
+    r3 as (select r2.*, b0 - a31 * q1 - a32 * q2 as q3 from r2 join k1 using (g) join k2 using (g)),
+    k3 as (select g, sum(t0 * q3) / sum(q3 * q3) as t3, sum(y0 * q3) / sum(q3 * q3) as c3 from r3 group by g)"""
+
+
+@query("two_model_effect", f"""
+    , fitted as (select *, treat as g from programme){STEPS_SQL},
+    crossed as (select treat, outcome, nation - mn as q1, n_orders - mo - a21 * (nation - mn) as q2, balance - mb as b0, m.g from programme join m on m.g <> treat join k1 on k1.g = m.g),
+    said as (select treat, outcome, my + c1 * q1 + c2 * q2 + c3 * (b0 - a31 * q1 - a32 * q2) as y
+             from crossed c join m on m.g = c.g join k1 on k1.g = c.g join k2 on k2.g = c.g join k3 on k3.g = c.g)
+    select count(*) as n, round(avg(case when treat = 1 then outcome - y else y - outcome end), 2) as effect from said""", ("programme",))
 def two_model_effect(t: Tables) -> DataFrame:
-    return causal.two_model_effect(si.programme(t), "treat", "outcome", COVARIATES)
+    found = causal.two_model_effect(si.programme(t), "treat", "outcome", COVARIATES)
+    return found.withColumn("effect", rounded(F.col("effect"), 2))
 
 
-@query("adjusted_effect")
+@query("adjusted_effect", f"""
+    , fitted as (select *, 1 as g from programme){STEPS_SQL},
+    alone as (select y0, t0 - t1 * q1 - t2 * q2 - t3 * q3 as t from r3 join k1 using (g) join k2 using (g) join k3 using (g))
+    select 'treat' as term, round(sum(t * y0) / sum(t * t), 2) as effect from alone""", ("programme",))
 def adjusted_effect(t: Tables) -> DataFrame:
-    return causal.adjusted_effect(si.programme(t), "treat", "outcome", COVARIATES)
+    found = causal.adjusted_effect(si.programme(t), "treat", "outcome", COVARIATES)
+    return found.withColumn("effect", rounded(F.col("effect"), 2))
 
 
 @query("stream_regression", """
