@@ -28,14 +28,50 @@ def skewed(spark):
     return frame, df.withColumn("v", F.nanvl("v", F.lit(None))).persist()
 
 
-@pytest.mark.parametrize("size", [0, 10_000])
-def test_group_quantiles(skewed, size):
+@pytest.mark.parametrize("fits", [1, 3, 150, 10_000])
+def test_group_quantiles(skewed, fits):
+    """With a small ``fits`` ranges are narrowed, some keys at once and others over rounds."""
     frame, df = skewed
-    got = {r["k"]: (r["a"], r["b"]) for r in ranks.exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.9}, bins=7, small_group=size).collect()}
+    got = {r["k"]: (r["a"], r["b"]) for r in ranks.exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.9}, fits=fits, fan=4).collect()}
     for k, part in frame.groupby("k")["v"]:
         assert np.allclose(got[k], part.quantile([0.25, 0.9]))
 
 
+def test_quantiles_of_any_double(spark):
+    """Every sign and size, values a bit apart, infinities, zeros, many copies and a weight; narrowed or not the same."""
+    base = [0.0, -0.0, 5e-324, -5e-324, 1e-300, 1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0), 1.5, 1e308, -1e308, float("inf"), float("-inf")]
+    values = [v for i, v in enumerate(base) for _ in range(i % 3 + 1)] + [1.0 + i * 2.0**-50 for i in range(40)] + [7.0] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    probs = {f"p{i}": i / 16 for i in range(17)}
+    want = ranks.exact_quantiles(df, [], "v", probs).first().asDict()
+    place = {n: p * (len(values) - 1) for n, p in probs.items()}
+    ordered = sorted(values)
+    for n, at in place.items():
+        lo, hi = ordered[math.floor(at)], ordered[math.ceil(at)]
+        if lo == hi or math.isfinite(lo) and math.isfinite(hi) and math.isfinite(hi - lo):
+            assert want[n] == (lo if lo == hi else lo + (hi - lo) * (at - math.floor(at)))
+    for fan in (2, 256):
+        assert repr(ranks.exact_quantiles(df, [], "v", probs, fits=1, fan=fan).first().asDict()) == repr(want)
+    halves = df.groupBy("v").agg(F.count("*").alias("n"))
+    assert repr(ranks.exact_quantiles(halves, [], "v", probs, weight="n", fits=5).first().asDict()) == repr(want)
+
+
+def test_quantiles_of_null_keys_and_empty_tables(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("b", None)], "k string, v double")
+    assert rows(ranks.exact_quantiles(df.fillna({"k": "z"}), ["k"], "v", {"m": 0.5})) == [("a", 5.0), ("z", 2.0)]
+    assert {r["k"]: r["m"] for r in ranks.exact_quantiles(df, ["k"], "v", {"m": 0.5}, fits=1).collect()} == {None: 2.0, "a": 5.0}
+    assert ranks.exact_quantiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
+
+
+def test_a_hot_key_covers_many_ranges(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 > 0, F.lit(None)).otherwise(F.col("id") % 3).alias("k"), "id")
+    got = ranks.running_totals(df, ["k"], ["id"], "id").toPandas()
+    for _, part in got.groupby("k", dropna=False):
+        part = part.sort_values("id")
+        assert (part["before"] == part["id"].cumsum() - part["id"]).all()
+    assert len(got) == 20_000
+
+
 def test_row_numbers_and_running_totals(skewed):
     _, df = skewed
     numbered = ranks.row_numbers(df.select("id").where("id % 7 <> 3"), "id")

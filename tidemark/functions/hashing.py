@@ -21,11 +21,6 @@ def seeded_uniform(seed: int | str | Column, *parts: str | Column) -> Column:
     return F.shiftright(seeded_hash(seed, *parts), 8).cast("double") / F.lit(float(2 ** (HASH_BITS - 8)))
 
 
-def hash_bin(hashed: str | Column, log_bins: int) -> Column:
-    """One of ``2**log_bins`` equal ranges of the hash, in its order."""
-    return F.shiftright(F.col(hashed) if isinstance(hashed, str) else hashed, HASH_BITS - log_bins).cast("int")
-
-
 # The same hash as SQL text, for the checking queries.
 def hash_sql(*parts: str) -> str:
     return f"(('0x' || substr(md5(concat_ws('-', {', '.join(parts)})), 1, {HASH_BITS // 4}))::bigint)"

@@ -14,14 +14,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_bin, seeded_hash, seeded_uniform
+from ..functions.hashing import seeded_hash, seeded_uniform
 from ..session import cut_lineage
 from .metrics import row_log_loss
 from .models import train_black_box
 from .ranks import row_numbers, running_totals
 
-LOG_BINS = 8
-
 
 def feature_rows(df: DataFrame, id: str, label: str, names: Sequence[str]) -> DataFrame:
     """Named columns as one array, the layout the functions here work on."""
@@ -67,7 +65,7 @@ def permutation_importance(model, rows: DataFrame, names: Sequence[str], seed: i
     rows = cut_lineage(rows)
     numbered = row_numbers(rows, "id", name="position")
     cells = rows.select("id", F.posexplode("x").alias("feature", "value")).withColumn("h", seeded_hash(seed, "feature", "id"))
-    shuffled = running_totals(cells, ["feature"], ["h", "id"], F.lit(1).cast("bigint"), hash_bin("h", LOG_BINS), "position")
+    shuffled = running_totals(cells, ["feature"], ["h", "id"], F.lit(1).cast("bigint"), "position")
     altered = numbered.join(shuffled.select("feature", "position", "value"), "position").select(
         "id", "label", _replaced(F.col("feature"), F.col("value")).alias("x"), "feature"
     )
