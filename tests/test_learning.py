@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import colour
 from tidemark.functions.geometry import box_iou
-from tidemark.operators import causal, explain, features, metrics, models, pages, trees
+from tidemark.operators import causal, explain, features, metrics, models, pages, skew, trees
 from tidemark.plans import learning, standins as si
 from tidemark.sources import writers
 
@@ -46,6 +46,30 @@ def test_detect_on_the_worked_example(spark):
     assert [r["id"] for r in models.detect(df, ["service", "proto"], ["n"], "id", k=2, threshold=0.9).collect()] == [3]
 
 
+def test_sparse_features_hold_the_same_flags(spark):
+    """The wide encoding and the vectors agree, a null category sets no flag, copies and hot values included."""
+    data = [(i, None if i % 7 == 0 else f"s{i % 3}", None if i % 2 else "p" * (i % 5), float(i)) for i in range(40)]
+    df = spark.createDataFrame(data, "id int, service string, proto string, n double")
+    wide = {r["id"]: [float(v) for v in r[1:]] for r in features.one_hot(df, ["service", "proto"], "id").collect()}
+    for bound in (100_000, 0):  # broadcast, and joined by salts
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(features, "broadcast_if_small", lambda x, b=bound: skew.broadcast_if_small(x, b))
+            got = {r["id"]: list(r["features"].toArray()) for r in features.sparse_features(df, ["service", "proto"], ["n"], "id").collect()}
+        assert got == wide
+
+
+def test_fifty_thousand_categories(spark):
+    """No bound on categories: three odd rows among many are found, every category has its own flag."""
+    df = spark.range(60_000).select(
+        "id", F.when(F.col("id") < 50_000, F.concat(F.lit("c"), F.col("id").cast("string"))).otherwise("hot").alias("c"),
+        F.when(F.col("id") % 20_000 == 7, 1000.0).otherwise(F.col("id") % 10).alias("n"),
+    )
+    vectors = features.sparse_features(df, ["c"], ["n"], "id").where("id in (0, 49999, 55555)").collect()
+    assert {r["id"]: (r["features"].size, int(r["features"].indices[0])) for r in vectors} == {0: (50_002, 0), 49_999: (50_002, 49_999), 55_555: (50_002, 50_000)}
+    found = {r["id"] for r in models.detect(df, ["c"], ["n"], "id", k=8, threshold=0.97).collect()}
+    assert {7, 20_007, 40_007} <= found and len(found) < 20
+
+
 def test_otsu_splits_two_heaps(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 4 == 0, F.col("id") % 10 + 100).otherwise(F.col("id") % 10).alias("v"))
     row = features.otsu_threshold(df, "v").first()

@@ -5,23 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import equal_bin, ratio
 from ..session import cut_lineage
-from .ranks import exact_quantiles
+from .ranks import exact_quantiles, running_totals
 from .relational import top_k
-from .skew import broadcast_if_small
+from .skew import broadcast_if_small, salted_join
 from .stats import pearson
 
-MAX_CATEGORIES = 10_000
+MAX_CATEGORIES = 10_000  # as columns; ``sparse_features`` has no such bound
+NO_CATEGORY = float(2**31 - 1)  # beyond every position, encoded as no flag at all
 
 
 def category_values(df: DataFrame, column: str, order: str) -> list:
     """Distinct values by first appearance along ``order``; they define output columns.
 
-    More than ``MAX_CATEGORIES`` values is an error: an encoding that wide is not meant.
+    More than ``MAX_CATEGORIES`` values is an error: a table that wide is not meant, see ``sparse_features``.
     """
     firsts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.min(order).alias("_f"))
     rows = firsts.orderBy("_f", column).limit(MAX_CATEGORIES + 1).collect()
@@ -38,6 +40,37 @@ def one_hot(df: DataFrame, columns: Sequence[str], id: str) -> DataFrame:
     return df.select(id, *flags, *[c for c in df.columns if c not in (id, *columns)])
 
 
+def category_index(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
+    """Every value of every column with its position in that column, by first appearance: a table of any length."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = df.select(F.col(order).alias("_f"), F.explode(cells).alias("_c")).select("_f", "_c.*").where("value is not null")
+    firsts = long.groupBy("column", "value").agg(F.min("_f").alias("_f"))
+    numbered = running_totals(firsts, ["column"], ["_f", "value"], F.lit(1).cast("bigint"), "position")
+    return numbered.select("column", "value", "position")
+
+
+def sparse_features(df: DataFrame, columns: Sequence[str], numbers: Sequence[str], id: str) -> DataFrame:
+    """The encoding of ``one_hot`` as sparse vectors, for any number of categories: ``(id, features)``.
+
+    Positions come from a table by a join, and only the number of categories of each column reaches the driver.
+    Flags stand before the numbers; a null category sets no flag, a row with a null number is left out.
+    """
+    if not columns:
+        return VectorAssembler(inputCols=list(numbers), outputCol="features", handleInvalid="skip").transform(df).select(id, "features")
+    index = cut_lineage(category_index(df, columns, id))
+    placed, inputs = df.select(id, *columns, *numbers), [f"_p{i}" for i in range(len(columns))]
+    for c, p in zip(columns, inputs, strict=True):
+        mine = index.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("position").cast("double").alias(p))
+        keyed, small = cut_lineage(placed.withColumn("_v", F.col(c).cast("string"))), broadcast_if_small(mine)
+        joined = keyed.join(small, "_v", "left") if small is not mine else salted_join(keyed, mine, ["_v"], [id], "left")
+        placed = joined.drop("_v").fillna(NO_CATEGORY, [p])
+    sizes = index.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("position"))), F.lit(0)).cast("double").alias(p) for c, p in zip(columns, inputs, strict=True)])
+    flags = [f"_f{i}" for i in range(len(columns))]
+    encoder = OneHotEncoder(inputCols=inputs, outputCols=flags, handleInvalid="keep", dropLast=True).fit(sizes)
+    vectors = VectorAssembler(inputCols=[*flags, *numbers], outputCol="features", handleInvalid="skip").transform(encoder.transform(placed))
+    return vectors.select(id, "features")
+
+
 def dummies(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """0/1 columns ``<column>_<value>`` in value order; nulls of kept numbers become 0."""
     flags = []

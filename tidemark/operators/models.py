@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.colour import WORD_RGB, lab_to_rgb, rgb_to_lab
 from ..session import cut_lineage
 from ..sources.readers import grid
-from .features import cluster_size_score, one_hot, standardise
+from .features import cluster_size_score, sparse_features, standardise
 from .resample import hash_folds
 from .sports import VALUE_BANDS
 from .relational import cast_columns, first_band
@@ -128,9 +128,7 @@ def feature_importances(model, names: Sequence[str], spark: SparkSession) -> Dat
 
 def detect(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], id: str, k: int = 8, threshold: float = 0.97, seed: int = 1) -> DataFrame:
     """Rows in unusually small clusters: encode, standardise, cluster, score by cluster size."""
-    encoded = standardise(one_hot(df.select(id, *categories, *numbers), categories, id), numbers)
-    inputs = [c for c in encoded.columns if c != id]
-    vectors = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip").transform(encoded).select(id, "features")
-    vectors = cut_lineage(vectors)  # read once per iteration
+    scaled = standardise(df.select(id, *categories, *numbers), numbers)
+    vectors = cut_lineage(sparse_features(scaled, categories, numbers, id))  # read once per iteration
     labelled = cut_lineage(KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(id, F.col("prediction").alias("cluster")))
     return cluster_size_score(labelled, "cluster").where(F.col("score") >= threshold).select(id, "score")

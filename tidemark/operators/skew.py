@@ -7,19 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 SALTS = 32
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after the row count is seen to be at most ``max_rows``.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only after rows and their size as text are seen to be within both bounds.
 
-    Beyond the bound the plain frame is returned, so the join shuffles instead. The count stops
-    early, but ``df`` should be a stored table or a checkpoint, not a long computation.
+    Beyond them the plain frame is returned, so the join shuffles instead. The look stops after
+    ``max_rows``, but ``df`` should be a stored table or a checkpoint, not a long computation.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).cast("string")
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(F.octet_length(row))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
 def widen(df: DataFrame) -> DataFrame:
