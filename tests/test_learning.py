@@ -158,6 +158,30 @@ def test_nearest_match_equals_brute_force(spark, dims, radius, strict):
     assert tuple(row) == pytest.approx(brute_nearest(people, dims, radius, strict))
 
 
+def test_nearest_match_where_the_widest_columns_are_shared(spark):
+    """Most points agree in the three widest of five columns; leaves stay small and nothing is missed."""
+    rng = random.Random(9)
+    people = []
+    for i in range(700):
+        far = (0.0, 500.0, -500.0) if i % 10 else tuple(rng.uniform(-4000, 4000) for _ in range(3))
+        people.append((i, i % 2, float(rng.randint(0, 100)), *far, float(rng.randint(0, 30)), rng.gauss(0, 3)))
+    df = spark.createDataFrame(people, "id int, treat int, outcome double, a double, b double, c double, d double, e double")
+    for radius in (1.5, 300.0):
+        row = causal.nearest_match_effect(df, "treat", "outcome", list("abcde"), "id", radius).first()
+        assert tuple(row) == pytest.approx(brute_nearest(people, 5, radius, True))
+    treated = df.where("treat = 1").select(F.struct("id").alias("m"), *"abcde")
+    levels, leaves = causal._partition(treated, list("abcde"))
+    sizes = [r["n"] for r in leaves.groupBy("_node").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 350 and max(sizes) <= causal.LEAF and len(levels) > 1
+
+
+def test_nearest_match_of_odd_rows(spark):
+    people = [(1, 0, 1.0, 0.0, 0.0), (2, 1, 5.0, 0.0, 3.0), (3, 0, 2.0, None, 0.0), (4, 1, 9.0, float("inf"), 0.0), (5, 0, 3.0, float("nan"), 3.0)]
+    df = spark.createDataFrame(people, "id int, treat int, outcome double, a double, b double")
+    assert tuple(causal.nearest_match_effect(df, "treat", "outcome", ["a", "b"], "id", 10.0).first()) == (1, pytest.approx(100 / 3), 4.0)
+    assert causal.nearest_match_effect(df.where("treat = 0"), "treat", "outcome", ["a", "b"], "id", 10.0).first()["n_matched"] == 0
+
+
 def test_effect_models_recover_a_known_effect(spark):
     df = spark.range(800).select(
         "id", (F.hash("id") % 2 == 0).cast("int").alias("treat"), (F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("z")

@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import euclidean, ratio
 from ..session import cut_lineage
 from .skew import salted_join
 
-FAN, LEAF, MAX_DEPTH = 4, 32, 16  # cells per axis in a larger cell, points per smallest cell, nested grids
+FAN, LEAF = 16, 32  # shares a box is cut into, points of the smallest boxes
 
 
 def _effect(matched: DataFrame, controls: DataFrame) -> DataFrame:
@@ -47,24 +46,50 @@ def exact_match_effect(df: DataFrame, treat: str, outcome: str, covariates: Sequ
     return _effect(matched, df.where(F.col(treat) == 0))
 
 
-def _cell(coord: str, size: float) -> Column:
-    return F.floor(F.col(coord).cast("double") / F.lit(size)).cast("bigint")
+def _boxes(points: DataFrame, keys: Sequence[str], coords: Sequence[str]) -> DataFrame:
+    """Bounding box of each node; a node of more than ``LEAF`` points also gets cuts along its longest side."""
+    ends = [F.min(c).alias(f"_lo_{c}") for c in coords] + [F.max(c).alias(f"_hi_{c}") for c in coords]
+    shares = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+    cuts = [F.percentile_approx(c, shares, F.lit(8 * FAN)).alias(f"_q_{c}") for c in coords]
+    found = points.groupBy(*keys).agg(F.count("*").alias("_n"), *ends, *cuts)
+    sides = F.array_max(F.array(*[
+        F.struct((F.col(f"_hi_{c}") - F.col(f"_lo_{c}")).alias("side"), F.lit(i).alias("axis"), F.array_distinct(f"_q_{c}").alias("cuts")) for i, c in enumerate(coords)
+    ]))
+    wide = (F.col("_n") > LEAF) & (sides["side"] > 0)
+    return cut_lineage(found.withColumns({"_axis": F.when(wide, sides["axis"]), "_cuts": F.when(wide, sides["cuts"])}).drop("_n", *[f"_q_{c}" for c in coords]))
 
 
-def _keys(axes: Sequence[str]) -> list[str]:
-    return [f"_k{i}" for i in range(len(axes))] or ["_k"]
+def _partition(points: DataFrame, coords: Sequence[str]) -> tuple[list[DataFrame], DataFrame]:
+    """A balanced partition of distinct points: the boxes of each level from the root, and the points by leaf.
 
-
-def _in_cells(points: DataFrame, axes: Sequence[str], size: float) -> DataFrame:
-    """Points with their cell at a cell size; a single cell when no axis varies."""
-    cells = {f"_k{i}": _cell(c, size) for i, c in enumerate(axes)} or {"_k": F.lit(0).cast("bigint")}
-    return points.withColumns(cells)
-
-
-def _boxes(parts: DataFrame, keys: Sequence[str], coords: Sequence[str], lo: str, hi: str) -> DataFrame:
-    """Bounding box of the points (or smaller boxes) in each cell."""
-    ends = [F.min(F.col(lo + c)).alias(f"_lo_{c}") for c in coords] + [F.max(F.col(hi + c)).alias(f"_hi_{c}") for c in coords]
-    return parts.groupBy(*keys).agg(*ends)
+    A node is cut at approximate quantiles along its longest side. Points that lie on a cut become a
+    part of their own, which has no length along that side any more, so equal coordinates are told
+    apart by the other columns and every leaf ends up with at most ``LEAF`` points.
+    """
+    placed = cut_lineage(points.withColumn("_node", F.lit("")))
+    levels, leaves = [_boxes(placed, ["_node"], coords).withColumn("_up", F.lit(None).cast("string"))], None
+    while True:
+        met = cut_lineage(salted_join(placed, levels[-1].select("_node", "_axis", "_cuts"), ["_node"], coords))
+        ended = met.where("_cuts is null").drop("_axis", "_cuts", "_up")
+        leaves = ended if leaves is None else leaves.unionByName(ended)
+        if levels[-1].where("_cuts is not null").isEmpty():
+            return levels, leaves
+        at = F.element_at(F.array(*coords), F.col("_axis") + 1)
+        part = 2 * F.size(F.filter("_cuts", lambda c: c < at)) + F.array_contains("_cuts", at).cast("int")
+        split = met.where("_cuts is not null").withColumn("_up", F.col("_node"))
+        placed = split.withColumn("_node", F.concat_ws("/", "_up", part.cast("string"))).drop("_axis", "_cuts")
+        levels.append(_boxes(placed, ["_up", "_node"], coords))
+
+
+def _reaches(boxes: DataFrame, coords: Sequence[str]) -> DataFrame:
+    """Least and greatest squared distance of a left point to a box, in place of the box."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for c in coords:
+        below, above = F.col(f"_lo_{c}") - F.col(c), F.col(c) - F.col(f"_hi_{c}")
+        gap = F.greatest(below, above, F.lit(0.0))
+        reach = F.greatest(F.abs(below), F.abs(above))
+        near, far = near + gap * gap, far + reach * reach
+    return boxes.select(*coords, "_node", F.col("_cuts").isNull().alias("_leaf"), near.alias("_near"), far.alias("_far"))
 
 
 def _prune(pairs: DataFrame, coords: Sequence[str], radius: float) -> DataFrame:
@@ -73,59 +98,34 @@ def _prune(pairs: DataFrame, coords: Sequence[str], radius: float) -> DataFrame:
     Some point of a box is no farther than the box's far corner, so boxes that begin beyond the
     least far corner, or beyond the radius, are out.
     """
-    zero = F.lit(0.0)
-    near, far = zero, zero
-    for c in coords:
-        below, above = F.col(f"_lo_{c}") - F.col(c), F.col(c) - F.col(f"_hi_{c}")
-        gap = F.greatest(below, above, zero)
-        reach = F.greatest(F.abs(below), F.abs(above))
-        near, far = near + gap * gap, far + reach * reach
     slack = 1 + 1e-9
-    bound = F.min(far).over(Window.partitionBy(*coords))  # few boxes per point
-    kept = pairs.withColumn("_near", near).withColumn("_bound", bound).where(
-        (F.col("_near") <= F.col("_bound") * slack) & (F.col("_near") <= radius * radius * slack)
-    )
-    return kept.drop("_near", "_bound", *[f"_{e}_{c}" for e in ("lo", "hi") for c in coords])
+    bound = F.min("_far").over(Window.partitionBy(*coords))  # few boxes per point
+    near = F.col("_near")
+    return cut_lineage(pairs.withColumn("_bound", bound).where((near <= F.col("_bound") * slack) & (near <= radius * radius * slack)).drop("_bound"))
 
 
 def nearest_within(left: DataFrame, right: DataFrame, coords: Sequence[str], radius: float, strict: bool) -> DataFrame:
     """For each left point the nearest right point within a radius; ties take the smallest id.
 
     ``left`` and ``right`` hold distinct points, ``right`` with a struct ``m`` that starts with the
-    id. Right points are summarised as boxes in nested grids, from cells of the radius down to
-    cells of at most ``LEAF`` points. Left points descend the grids and follow only boxes that can
-    still hold their nearest point, so crowded regions on either side never meet pair by pair,
-    and no pair is missed. Cells many left points go through are spread by ``salted_join``.
+    id. Right points are cut into nested boxes over all columns, down to leaves of at most ``LEAF``
+    points. Left points descend and follow only boxes that can still hold their nearest point, so
+    crowded regions on either side never meet pair by pair, and no pair is missed. Boxes many left
+    points go through are spread by ``salted_join``. Points with a null or non-finite coordinate have no nearest.
     """
     coords = list(coords)
-    ends = right.agg(F.count("*").alias("n"), *[(F.max(c) - F.min(c)).cast("double").alias(c) for c in coords]).first()
-    wide = sorted((c for c in coords if (ends[c] or 0.0) > 0.0), key=lambda c: -ends[c])
-    axes = wide[:3]  # the widest columns shape the cells; boxes bound all columns
-    keys, top = _keys(axes), radius * (1 + 1e-9)
-    depth = 0
-    while depth < MAX_DEPTH and axes:
-        counts = _in_cells(right, axes, top / FAN**depth).groupBy(*keys).agg(F.count("*").alias("_n"))
-        if (counts.agg(F.max("_n")).first()[0] or 0) <= LEAF:
-            break
-        depth += 1
-
-    leaves = cut_lineage(_in_cells(right, axes, top / FAN**depth))
-    levels = [cut_lineage(_boxes(leaves, keys, coords, "", ""))]
-    for _ in range(depth):
-        parents = levels[-1].withColumns({k: F.floor(F.col(k) / FAN).cast("bigint") for k in keys})
-        levels.append(cut_lineage(_boxes(parents, keys, coords, "_lo_", "_hi_")))
-
-    points = left.select(*[F.col(c).cast("double").alias(c) for c in coords]).distinct()
-    shifts = F.array(*[F.struct(*[F.lit(o).alias(k) for k, o in zip(keys, d)]) for d in product((-1, 0, 1), repeat=len(axes))] or [F.struct(F.lit(0).alias("_k"))])
-    around = _in_cells(points, axes, top).withColumn("_s", F.explode(shifts)).withColumns({k: F.col(k) + F.col(f"_s.{k}") for k in keys}).drop("_s")
-    open_pairs = cut_lineage(_prune(around.join(levels[-1], keys), coords, radius))
-    for boxes in reversed(levels[:-1]):
-        children = boxes.withColumns({f"_c{k}": F.col(k) for k in keys}).withColumns({k: F.floor(F.col(k) / FAN).cast("bigint") for k in keys})
-        down = salted_join(open_pairs, children, keys, coords).drop(*keys).withColumnsRenamed({f"_c{k}": k for k in keys})
-        open_pairs = cut_lineage(_prune(down, coords, radius))
+    doubles = [F.col(c).cast("double").alias(c) for c in coords]
+    finite = " and ".join(f"abs(`{c}`) < double('infinity')" for c in coords)
+    levels, leaves = _partition(right.select("m", *doubles).where(finite), coords)
+    points = left.select(*doubles).where(finite).distinct()
+    root = points.withColumn("_node", F.lit("")).join(F.broadcast(levels[0]), "_node")  # one box
+    pairs = _prune(_reaches(root, coords), coords, radius)
+    for boxes in levels[1:]:
+        below = salted_join(pairs.where("not _leaf").select(*coords, F.col("_node").alias("_up")), boxes, ["_up"], coords)
+        pairs = _prune(pairs.where("_leaf").unionByName(_reaches(below, coords)), coords, radius)
 
     targets = leaves.withColumnsRenamed({c: f"_r_{c}" for c in coords})
-    met = salted_join(open_pairs, targets, keys, coords).withColumn("distance", euclidean(coords, [f"_r_{c}" for c in coords]))
+    met = salted_join(pairs.select(*coords, "_node"), targets, ["_node"], coords).withColumn("distance", euclidean(coords, [f"_r_{c}" for c in coords]))
     near = F.col("distance") < radius if strict else F.col("distance") <= radius
     best = met.where(near).groupBy(*coords).agg(F.min(F.struct("distance", "m")).alias("_b"))
     return left.join(best.select(*coords, F.col("_b.m").alias("m"), F.col("_b.distance").alias("distance")), coords)
@@ -163,7 +163,8 @@ def nearest_match_effect(
     df: DataFrame, treat: str, outcome: str, covariates: Sequence[str], id: str, threshold: float = 1000.0, strict: bool = True
 ) -> DataFrame:
     """Controls matched to the nearest treated person closer than a threshold."""
-    controls, treated = (cut_lineage(points) for points in _points(df, treat, outcome, covariates, id))
+    measured = df.withColumns({c: F.col(c).cast("double") for c in covariates})
+    controls, treated = (cut_lineage(points) for points in _points(measured, treat, outcome, covariates, id))
     if len(covariates) == 1:
         matched = nearest_sorted(controls, treated, covariates[0], threshold, strict)
     else:
