@@ -173,6 +173,21 @@ def test_toxicity_held_out(spark):
     assert np.mean(caught) > 0.75 and np.mean(clean) < 0.02
 
 
+def test_toxicity_sample_drops_equal_texts_only(spark):
+    texts = ["a common beginning one", "a common beginning two", "a common beginning one", "", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in (2, 4))) for i in range(5)], "doc_id long, toxic int")
+    got = sorted((r["text"], r["toxic"]) for r in toxicity.sample(docs, labels, 100).collect())
+    assert got == sorted({(t, int(i in (2, 4))) for i, t in enumerate(texts)})
+
+
+def test_toxicity_fit_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    one, many = (toxicity.fit(docs.repartition(n), labels) for n in (1, 7))
+    assert one == many and one.weights
+
+
 def test_toxicity_folding_and_exceptions():
     lexicon = toxicity.Lexicon({" idiot ": 5.0, " clown ": 4.0, " vequ": 3.0}, (" clown fish ",))
     a = lexicon.automaton()

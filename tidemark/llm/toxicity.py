@@ -177,8 +177,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float,
 def sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
     """``text`` and ``toxic`` of at most about ``max_train`` toxic documents and ``CLEAN_FOR_TOXIC`` times as many clean ones.
 
-    Ids are chosen first, by hash, so only chosen texts move; near copies, which share the smallest
-    hash of their long words, count once.
+    Ids are chosen first, by hash, so only chosen texts move; equal texts with equal labels count once.
     """
     known = labels.select("doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").distinct()
     total = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -188,14 +187,12 @@ def sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
         limit = F.when(F.col("toxic") == label, int(min(1.0, most / n) * (1 << 30))).otherwise(limit)
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < limit).select(F.col("doc_id").alias("_id"), "toxic")
     joined = docs.select(F.col("doc_id").alias("_id"), "text").where("text is not null").join(F.broadcast(chosen), "_id")
-    long = F.filter(F.split("text", r"\s+"), lambda w: F.length(w) >= 7)
-    least = F.coalesce(F.array_min(F.transform(long, lambda w: F.xxhash64(w))), F.xxhash64("text"))
-    return joined.select("text", "toxic", least.alias("_k")).dropDuplicates(["_k", "toxic"]).select("text", "toxic")
+    return joined.select("text", "toxic", F.sha2("text", 256).alias("_k")).dropDuplicates(["_k", "toxic"]).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lexicon:
     """Lexicon, exceptions and curve from labelled documents; at most ``max_train`` toxic ones and four times as many clean ones reach the driver."""
-    rows = sample(docs, labels, max_train).collect()
+    rows = sorted(sample(docs, labels, max_train).collect(), key=lambda r: (r["toxic"], r["text"]))  # one order in every run
     toxic_rows = [r["text"] for r in rows if r["toxic"] == 1]
     held: Counter = Counter()
     for t in toxic_rows:
