@@ -19,6 +19,9 @@ from ..session import cut_lineage
 from .metrics import row_log_loss
 from .models import train_black_box
 from .ranks import row_numbers, running_totals
+from .skew import over_tasks
+
+EXPLAINED_AT_ONCE = 50  # rows of which one task makes, scores and fits all copies
 
 
 def feature_rows(df: DataFrame, id: str, label: str, names: Sequence[str]) -> DataFrame:
@@ -156,7 +159,9 @@ def local_surrogate(
         v = seeded_uniform(seed, F.lit(f"v{i}"), "id", "k")
         return F.sqrt(F.log(u) * -2.0) * F.cos(v * (2 * np.pi))
 
-    copies = rows.select("id", "label", F.col("x").alias("x0"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")).withColumn(
+    # dealt before copying, by the key that copies are grouped by later
+    dealt = over_tasks(cut_lineage(rows), EXPLAINED_AT_ONCE, "id")
+    copies = dealt.select("id", "label", F.col("x").alias("x0"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")).withColumn(
         "z", F.array(*[normal(i) for i in range(d)])
     ).withColumn("x", F.transform("x0", lambda v, i: v + F.get(F.col("z"), i) * F.get(facts, i))).select("id", "label", "z", "x")
     spread = float(width * np.sqrt(d))
