@@ -378,3 +378,37 @@ def test_fitted_score_match_equals_all_pairs_of_the_written_scores(spark, tables
     n, effect = brute_match([tuple(r) for r in scored], 0.01)
     got = causal.propensity_effect(df, "treat", "outcome", confounders, "id", 0.01).first()
     assert got["n_matched"] == n and got["effect"] == pytest.approx(effect)
+
+
+def test_one_split_is_trained_and_explained_over_many_tasks(spark, tables, explained, monkeypatch):
+    """A small file is one split; the rows worked on are spread from there, and come to the same result."""
+    seen = []
+
+    def trained(df, *rest):
+        seen.append(df.rdd.getNumPartitions())
+        raise StopIteration
+
+    monkeypatch.setattr(learning, "TRAINED_AT_ONCE", 30)
+    for name, build in (("train_value_bands", learning.value_band_model), ("train_colours", learning.colour_model)):
+        monkeypatch.setattr(learning.models, name, trained)
+        with pytest.raises(StopIteration):
+            build(tables)
+    assert min(seen) >= 3
+
+    data, logistic = explained[0].where("id < 40").coalesce(1), explained[1]
+    plain = explain.probability
+    monkeypatch.setattr(explain, "probability", lambda model, rows, *a: seen.append(rows.rdd.getNumPartitions()) or plain(model, rows, *a))
+    weights = []
+    for at_once in (1000, 5):
+        monkeypatch.setattr(explain, "EXPLAINED_AT_ONCE", at_once)
+        found = explain.local_surrogate(logistic, data, data, learning.NAMES, n=70)
+        weights.append({(r["id"], r["feature"]): r["weight"] for r in found.collect()})
+    assert seen[-2:] == [1, min(spark.sparkContext.defaultParallelism, data.count() // 5)]
+    assert weights[1] == pytest.approx(weights[0], rel=1e-6, abs=1e-9)
+
+
+def test_categories_are_counted_in_two_shuffles(spark):
+    rows = [(1, "a", "x"), (1, "b", "x"), (1, "b", None), (1, "a", "y"), (2, None, "z"), (3, None, None), (None, "q", None)]
+    found = features._group_categories(spark.createDataFrame(rows, "k int, c string, d string"), "k", ["c", "d"], "t", ("mode", "n_unique"))
+    assert {r["k"]: tuple(r)[1:] for r in found.collect()} == {1: ("a", 2, "x", 2), 2: (None, 0, "z", 1), None: ("q", 1, None, 0)}
+    assert found._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") + found._jdf.queryExecution().sparkPlan().toString().count("SortAggregate") <= 4

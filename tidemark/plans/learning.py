@@ -13,12 +13,14 @@ from ..functions.numeric import rounded
 from ..operators import explain, features, metrics, models, trees
 from ..operators.relational import with_previous_day
 from ..operators.resample import hash_split
+from ..operators.skew import over_tasks
 from ..session import cut_lineage
 from . import standins as si
 from .registry import query
 from .tables import Tables
 
 KINDS = ("kind", "hour")
+TRAINED_AT_ONCE = 20_000  # rows of a network's training that are worth a task, read once per iteration
 
 
 def flags_sql(column: str) -> str:
@@ -239,7 +241,7 @@ def words(t: Tables) -> DataFrame:
 
 @query("colour_model")
 def colour_model(t: Tables) -> DataFrame:
-    data = cut_lineage(hash_split(words(t), ["id"], 0.75, 1))
+    data = over_tasks(cut_lineage(hash_split(words(t), ["id"], 0.75, 1)), TRAINED_AT_ONCE)
     model = models.train_colours(data.where(F.col("part") == "train"), "lab")
     check = rgb_to_lab(data.where(F.col("part") == "validation"), keep=("id", "word"))
     return metrics.weighted_f1(models.score(model, check), "label", "prediction")
@@ -252,7 +254,7 @@ def predict_grid(t: Tables) -> DataFrame:
 
 @query("value_band_model")
 def value_band_model(t: Tables) -> DataFrame:
-    data = cut_lineage(hash_split(models.band_table(si.players(t)), ["short_name"], 0.75, 1))
+    data = over_tasks(cut_lineage(hash_split(models.band_table(si.players(t)), ["short_name"], 0.75, 1)), TRAINED_AT_ONCE)
     model = models.train_value_bands(data.where(F.col("part") == "train"))
     return metrics.weighted_f1(models.score(model, data.where(F.col("part") == "validation")), "value_range", "prediction")
 
