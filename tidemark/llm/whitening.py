@@ -244,7 +244,8 @@ def fit(embeddings: DataFrame, count: int = 4, vectors: str = "embedding", steps
     found = turns[kept] @ right
     for v in found:
         v /= np.linalg.norm(v)
-        v *= np.sign(v[np.argmax(np.abs(v))])
+        # of entries that are as large but for rounding, the first one says the sign
+        v *= np.sign(v[np.argmax(np.abs(v) > (1 - 1e-9) * np.abs(v).max())])
     variances = sizes[kept] ** 2 / n
     k = len(kept)
 
