@@ -3,18 +3,21 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import xxhash
 from corpus_fixtures import SMALL, docs, make  # noqa: F401
 from tokenizers import Tokenizer
 
 from tidemark.llm import contamination, extraction, language, neighbours, packing, secrets, simhash, toxicity
+from tidemark.llm.batches import by_bytes, utf8
 from tidemark.llm.queries import QUERIES, SQL, tokenizer_paths
 from tidemark.llm.tokens import Encoder
 
@@ -465,3 +468,21 @@ def test_neighbours_odd_rows(spark):
         got[r["query_id"]].append(r["vec_id"])
     assert got == {0: [5, 50, 100, 201, 202], 50: [0, 5, 100, 201, 202], 100: [0, 5, 50, 201, 202]}
     assert neighbours.search(df.where("false")).count() == 0
+
+
+def test_slices_of_language_and_packing_are_small():
+    lines = pa.array([f"wörd{i} und word{i * 7} " * 100 for i in range(2000)])
+    model = language.Model(("de", "en"), np.zeros(2), np.zeros((2, language.BUCKETS), np.float32))
+    language.letters()
+    paths = tokenizer_paths()
+    packing.encoder(paths).ids(*utf8(lines[:1]))
+    for limit, work in (
+        (language.SLICE_BYTES, lambda texts: language.score(model, texts.to_pylist())),
+        (packing.SLICE_BYTES, lambda texts: packing.encoder(paths).ids(*utf8(texts))),
+    ):
+        tracemalloc.start()
+        for part in by_bytes(iter([pa.RecordBatch.from_arrays([lines], names=["text"])]), "text", limit):
+            work(part.column("text"))
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert peak < 40 << 20

@@ -16,6 +16,8 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3)
 #: Most labelled documents a model is fitted on, taken by a hash of their text and language.
 MAX_TRAIN = 20_000
+#: Bytes of text whose n-grams are held at once: their arrays take some 60 times as much, in every worker of an executor.
+SLICE_BYTES = 1 << 18
 UNKNOWN = "und"
 
 _letters: np.ndarray | None = None
@@ -84,7 +86,7 @@ def fit(labelled: DataFrame, max_train: int = MAX_TRAIN) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list] = {}
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", SLICE_BYTES):
             langs = batch.column("lang").to_pylist()
             bucket, owner, _ = grams(batch.column("text").to_pylist())
             names = sorted(set(langs))
@@ -135,7 +137,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", SLICE_BYTES):
             lang, sure = score(held.value, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(lang, pa.string()), pa.array(sure, pa.float64())], names=[key, "lang_pred", "score"])
 
@@ -147,7 +149,7 @@ def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", SLICE_BYTES):
             lang, sure = score(held.value, batch.column(batch.schema.get_field_index("text")).to_pylist())
             yield batch.filter(pa.array([x != UNKNOWN and p >= least for x, p in zip(lang, sure)], pa.bool_()))
 

@@ -16,6 +16,8 @@ from .tokens import Encoder
 
 CAPACITY = 2048
 END = 0
+#: Bytes of text encoded at once: their hashes and offsets take some 40 times as much, in every worker of an executor.
+SLICE_BYTES = 1 << 18
 #: Pieces on one island.
 ISLAND = 50_000
 EPOCHS = 3
@@ -46,7 +48,7 @@ def pieces(docs: DataFrame, paths: tuple[str, str, str], capacity: int = CAPACIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(paths)
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", SLICE_BYTES):
             raw, at = utf8(batch.column("text"))
             ids, cut = own.ids(raw, at)
             docs_of, piece, start, length, crc = [], [], [], [], []
