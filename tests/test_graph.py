@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import rows
 
-from tidemark.operators import graph
+from tidemark.operators import edge_tiles, graph
 
 # The small friendship graph, one line per person, with a repeated edge.
 FRIENDS = """Mary: Peter Albert DavidF Peter
@@ -203,3 +203,45 @@ def test_filter_and_influencers(friends):
     assert graph.filter_vertices(friends, ranks.where("rank < 0.09")).count() < friends.count()
     found = rows(graph.influencers(friends, 0.12, 0.05))
     assert found and "DavidF" not in {r[0] for r in found}
+
+
+@pytest.fixture
+def small_tiles(monkeypatch):
+    """Several blocks of vertices and parts of sources on small graphs."""
+    monkeypatch.setattr(graph, "lay_tiles", lambda edges: edge_tiles.lay_tiles(edges, block=30, tile=40))
+    monkeypatch.setattr(graph, "WORDS", 1)
+
+
+def test_ranks_over_tiles(spark, small_tiles):
+    rng = random.Random(5)
+    pairs = [("hub", f"v{i}") for i in range(40)] + [(f"v{rng.randint(0, 39)}", f"v{rng.randint(0, 39)}") for _ in range(60)]
+    edges = spark.createDataFrame(pairs + [("v1", None)], "src string, dst string")
+    both = rows(graph.both_ways(edges))
+    with graph.lay_tiles(graph.both_ways(edges)) as laid:
+        assert laid.blocks > 1
+        degrees = graph._degrees(laid)
+        got = {r["id"]: r["rank"] for r in graph._settle(laid, degrees, 0.85, 1e-6).collect()}
+        some = degrees.where("id <> 'hub'").join(graph.degrees(edges.where("src <> 'hub'")), "id").select("id", F.col("degree").alias("out"))
+        inner = {r["id"]: r["rank"] for r in graph._settle(laid, some, 0.85, 1e-6).collect()}
+        # a round moves rows of blocks, however many edges there are
+        states = laid.sizes.select("block", F.lit(0).alias("part"), F.lit(b"x").alias("state"), F.lit(b"y").alias("message"))
+        moved = laid.carry(states, lambda src, dst, size, message: message, lambda state, parts: (state, None, len(list(parts))), "n bigint").collect()
+        assert len(moved) == laid.blocks and all(r["n"] <= laid.blocks for r in moved)
+    want = power_ranks(both, 100)
+    assert set(got) == set(want) and sum(abs(got[v] - x) for v, x in want.items()) <= 1e-6 / 0.15
+    want = power_ranks([p for p in both if "hub" not in p], 100)
+    assert set(inner) == set(want) and sum(abs(inner[v] - x) for v, x in want.items()) <= 1e-6 / 0.15
+
+
+def test_distances_over_tiles(spark, small_tiles):
+    rng = random.Random(6)
+    pairs = [(0, i) for i in range(1, 60)] + [(rng.randint(50, 130), rng.randint(50, 130)) for _ in range(120)] + [(500, 501)]
+    want = {}
+    near = neighbours(pairs)
+    for s in near:
+        for d in distances(near, s).values():
+            want[d] = want.get(d, 0) + 1
+    want.pop(0)
+    got = graph.distance_histogram(spark.createDataFrame(pairs, "src bigint, dst bigint"))
+    assert {r["distance"]: r["n"] for r in got.collect()} == want
+    assert graph.distance_histogram(spark.createDataFrame([(1, 1)], "src bigint, dst bigint")).count() == 0
