@@ -1,11 +1,12 @@
 import random
 from collections import deque
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from conftest import rows
 
-from tidemark.operators import edge_tiles, graph
+from tidemark.operators import brandes, edge_tiles, graph
 
 # The small friendship graph, one line per person, with a repeated edge.
 FRIENDS = """Mary: Peter Albert DavidF Peter
@@ -198,6 +199,36 @@ def test_betweenness(random_graph, friends):
         assert edge.count() == graph.simple_undirected(edges).count()
 
 
+def test_betweenness_on_one_tile_and_by_joins(friends, monkeypatch):
+    """A graph of one tile is searched without a join for each round, and gives what the joins give, look for look."""
+
+    def found():
+        vertex, edge = graph.betweenness(friends, block=5)
+        sampled = [{r["id"]: (r["score"], r["error"], r["n_sources"]) for r in graph.betweenness_sampled(friends, error=e, block=3).collect()} for e in (20.0, 0.0)]
+        return {r["id"]: r["score"] for r in vertex.collect()}, {(r["a"], r["b"]): r["score"] for r in edge.collect()}, *sampled
+
+    monkeypatch.setattr(brandes, "CHUNK", 4)  # sums in several chunks
+    with monkeypatch.context() as patched:
+        patched.setattr(graph, "_dependencies", None)
+        tile = found()
+    monkeypatch.setattr(graph, "lay_tiles", lambda edges: edge_tiles.lay_tiles(edges, block=4))
+    joins = found()
+    assert len(tile[0]) == 10 and len(tile[1]) == 15
+    for a, b in zip(tile, joins):
+        assert a.keys() == b.keys() and all(x == pytest.approx(b[k]) for k, x in a.items())
+
+
+def test_dependencies_of_long_and_parted_graphs():
+    """More levels than a byte counts, a part that the source does not reach, and a hub."""
+    pairs = [(i, i + 1) for i in range(300)] + [(0, i) for i in range(301, 340)] + [(400, 401)]
+    ways = sorted({(b, a) for p in pairs for a, b in (p, p[::-1])})
+    dst, src = (np.array(x, "<i4").tobytes() for x in zip(*ways))
+    near, edges = brandes.Neighbours(src, dst, 402), np.zeros(len(ways))
+    found = near.dependencies(150, edges)
+    assert found[149] == 149 + 39 and found[0] == 39 and found[299] == 1 and found[150] == found[400] == 0
+    assert edges.sum() == sum(distances(neighbours(pairs), 150).values())
+
+
 def test_filter_and_influencers(friends):
     ranks = graph.pagerank(graph.both_ways(friends))
     assert graph.filter_vertices(friends, ranks.where("rank < 0.09")).count() < friends.count()
