@@ -151,6 +151,49 @@ def test_distance_sketch_is_within_its_error(spark, random_graph, friends):
     assert graph.distance_sketch(empty).count() == 0
 
 
+def test_distance_sketch_by_registers(spark, monkeypatch):
+    """Many edges: registers go between blocks in parts, a row for each block and part, and give what exact counts give."""
+    rng = random.Random(9)
+    pairs = [(0, i) for i in range(1, 40)] + [(rng.randint(1, 300), rng.randint(1, 300)) for _ in range(500)] + [(500, 501), (501, 502), (502, 500)]
+    near, exact = neighbours(pairs), {}
+    for v in near:
+        for d in distances(near, v).values():
+            exact[d] = exact.get(d, 0) + 1
+    exact.pop(0)
+    monkeypatch.setattr(graph, "FEW_WAYS", 10)
+    monkeypatch.setattr(graph, "_sketch_rounds", None)
+    monkeypatch.setattr(graph, "REGISTER_BYTES", 1 << 14)
+    monkeypatch.setattr(graph, "lay_tiles", lambda edges, tile: edge_tiles.lay_tiles(edges, block=150, tile=400))
+    got = {r["distance"]: r for r in graph.distance_sketch(spark.createDataFrame(pairs, "src bigint, dst bigint")).collect()}
+    assert set(got) <= set(exact) and min(got) == 1
+    for d, r in got.items():
+        within = sum(n for k, n in exact.items() if k <= d)
+        assert r["n"] > 0 and abs(r["within"] - within) <= 5 * r["error"] * (within + len(near))
+
+
+def test_largest_over_edges(monkeypatch):
+    """Hubs and others; a vertex that nothing leads to, and rows of zeros that are not sent."""
+    monkeypatch.setattr(edge_tiles, "AT_ONCE", 64)
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 9, (50, 8)).astype(np.uint8) * (np.arange(50) % 3 > 0)[:, None].astype(np.uint8)
+    dst = np.sort(np.concatenate([np.full(700, 7), rng.integers(0, 40, 300)])).astype("<i4")
+    src = rng.integers(0, 50, len(dst)).astype("<i4")
+    want = np.zeros((50, 8), np.uint8)
+    np.maximum.at(want, dst, values[src])
+    assert (edge_tiles.largest(src, dst, 50, values) == want).all()
+    assert not edge_tiles.largest(src[:0], dst[:0], 50, values).any()
+
+
+def test_cardinality_of_registers():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 20, 3000, 200_000):
+        hashed = rng.integers(0, 1 << 52, n)
+        registers = np.zeros((1, 4096), np.uint8)
+        np.maximum.at(registers[0], rng.integers(0, 4096, n), (np.log2((hashed & -hashed) + (hashed == 0)) + 1).astype(np.uint8))
+        terms, zeros = edge_tiles.register_terms(registers)
+        assert edge_tiles.cardinality(terms, zeros, 4096) == pytest.approx(n, rel=0.08, abs=0.5)
+
+
 def test_components(random_graph):
     pairs, edges = random_graph
     near = neighbours(pairs)
