@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import rows
 
-from tidemark.operators import brandes, edge_tiles, graph
+from tidemark.operators import brandes, edge_tiles, graph, lanes
 
 # The small friendship graph, one line per person, with a repeated edge.
 FRIENDS = """Mary: Peter Albert DavidF Peter
@@ -319,3 +319,65 @@ def test_distances_over_tiles(spark, small_tiles):
     got = graph.distance_histogram(spark.createDataFrame(pairs, "src bigint, dst bigint"))
     assert {r["distance"]: r["n"] for r in got.collect()} == want
     assert graph.distance_histogram(spark.createDataFrame([(1, 1)], "src bigint, dst bigint")).count() == 0
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_distances_without_and_with_rounds_of_tiles(spark, small_tiles, monkeypatch, whole):
+    """Edges that fit a task are searched by lanes without a round of all states; more go through tiles a few parts at a time."""
+    rng = random.Random(8)
+    pairs = [(0, i) for i in range(1, 70)] + [(rng.randint(50, 160), rng.randint(50, 160)) for _ in range(150)] + [(500 + i, 501 + i) for i in range(12)]
+    near, want = neighbours(pairs), {}
+    for s in near:
+        for d in distances(near, s).values():
+            want[d] = want.get(d, 0) + 1
+    want.pop(0)
+    waves, plain = [], graph._distances
+    if whole:
+        monkeypatch.setattr(edge_tiles.EdgeTiles, "carry", None)
+    else:
+        monkeypatch.setattr(lanes, "WAYS", 10)
+        monkeypatch.setattr(graph, "WAVE_BYTES", 1)
+        monkeypatch.setattr(graph, "_distances", lambda *a: waves.append(1) or plain(*a))
+    got = graph.distance_histogram(spark.createDataFrame(pairs, "src bigint, dst bigint"))
+    assert {r["distance"]: r["n"] for r in got.collect()} == want
+    assert len(waves) == (0 if whole else -(-len(near) // 64))
+
+
+def in_two_blocks(pairs, n):
+    """``lanes.Packed`` of a graph of vertices 0 to n - 1 from four tiles."""
+    near, half, tiles = neighbours(pairs), n // 3, {}
+    for i, (a, b) in enumerate(((0, half), (half, n))):
+        for j, (c, d) in enumerate(((0, half), (half, n))):
+            own = [sorted(u - a for u in near.get(v, ()) if a <= u < b) for v in range(c, d)]
+            tiles[i, j] = np.array(sum(own, []), "<i4").tobytes(), np.array([len(x) for x in own], "<i4").tobytes()
+    return lanes.Packed(tiles)
+
+
+@pytest.mark.parametrize("few", [0, 1, 1 << 40])
+def test_rounds_over_a_whole_graph(monkeypatch, few):
+    """Hubs, parts that don't meet and vertices without edges, by following what changed and by looking at all."""
+    for name, value in (("ROWS", 8), ("HUB", 20), ("FEW", few)):
+        monkeypatch.setattr(lanes, name, value)
+    rng = random.Random(3)
+    pairs = [(0, i) for i in range(1, 60)] + [(7, i) for i in range(20, 50)] + [(rng.randint(40, 99), rng.randint(40, 99)) for _ in range(60)]
+    pairs += [(100 + i, 101 + i) for i in range(15)]
+    near = neighbours(pairs)
+    laid = lanes.Rounds(in_two_blocks(pairs, 120))
+    assert laid.hubs == 2
+    state = np.zeros((120, 2), np.uint64)
+    bit = np.arange(120)
+    state[laid.row, bit // 64] = np.left_shift(np.uint64(1), (bit % 64).astype(np.uint64))
+    told = []
+    found = [sum(told) for _ in laid.run(state, np.arange(120), np.bitwise_or, lambda rows, old, new: told.append(int(np.bitwise_count(old ^ new).sum())))]
+    far = [d for s in near for d in distances(near, s).values() if d]
+    assert found == [sum(d <= k for d in far) for k in range(1, max(far) + 1)]
+    values = np.arange(120, dtype=np.uint8)[:, None][laid.order].repeat(4, axis=1)
+    last = values.copy()
+
+    def keep(rows, old, new):
+        assert (last[rows] == old).all() and (new != old).any(axis=1).all()
+        last[rows] = new
+
+    for _ in laid.run(values, np.arange(120), np.maximum, keep):
+        pass
+    assert all((last[laid.row[v]] == max(distances(near, v))).all() for v in near)
