@@ -343,6 +343,22 @@ def test_distances_without_and_with_rounds_of_tiles(spark, small_tiles, monkeypa
     assert len(waves) == (0 if whole else -(-len(near) // 64))
 
 
+def test_distance_sketch_by_lanes(spark, monkeypatch):
+    """Edges that fit a task: lanes follow parts of the registers to the end, and give what rounds between blocks give."""
+    rng = random.Random(12)
+    pairs = [(0, i) for i in range(1, 40)] + [(rng.randint(1, 300), rng.randint(1, 300)) for _ in range(500)] + [(500 + i, 501 + i) for i in range(9)]
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    for name, value in (("FEW_WAYS", 10), ("_sketch_rounds", None), ("lay_tiles", lambda edges, tile: edge_tiles.lay_tiles(edges, block=150, tile=400))):
+        monkeypatch.setattr(graph, name, value)
+    monkeypatch.setattr(lanes, "CHUNK", 100)
+    monkeypatch.setattr(lanes, "STATE_BYTES", 1 << 15)
+    with monkeypatch.context() as patched:
+        patched.setattr(edge_tiles.EdgeTiles, "carry", None)
+        whole = graph.distance_sketch(edges).collect()
+    monkeypatch.setattr(lanes, "WAYS", 10)
+    assert len(whole) > 5 and whole == graph.distance_sketch(edges).collect()
+
+
 def in_two_blocks(pairs, n):
     """``lanes.Packed`` of a graph of vertices 0 to n - 1 from four tiles."""
     near, half, tiles = neighbours(pairs), n // 3, {}
