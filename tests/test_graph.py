@@ -261,6 +261,31 @@ def test_betweenness_on_one_tile_and_by_joins(friends, monkeypatch):
         assert a.keys() == b.keys() and all(x == pytest.approx(b[k]) for k, x in a.items())
 
 
+def test_betweenness_over_several_blocks_without_joins(spark, monkeypatch):
+    """Edges of many tiles that fit a task: the same as by joins, and the same look is the first that is close enough."""
+    rng = random.Random(4)
+    pairs = [(0, i) for i in range(1, 25)] + [(rng.randint(1, 50), rng.randint(1, 50)) for _ in range(60)] + [(100, 101)]
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+
+    def found():
+        vertex, edge = graph.betweenness(edges, block=30)
+        sampled = [{r["id"]: (r["score"], r["error"], r["n_sources"]) for r in graph.betweenness_sampled(edges, error=e, block=5).collect()} for e in (1.2, 0.9)]
+        return {r["id"]: r["score"] for r in vertex.collect()}, {(r["a"], r["b"]): r["score"] for r in edge.collect()}, *sampled
+
+    monkeypatch.setattr(graph, "lay_tiles", lambda edges: edge_tiles.lay_tiles(edges, block=20, tile=30))
+    monkeypatch.setattr(graph, "APART_BYTES", 1)  # one look at a time
+    monkeypatch.setattr(graph, "LOOKS", 4)
+    with monkeypatch.context() as patched:
+        patched.setattr(graph, "_dependencies", None)
+        whole = found()
+    monkeypatch.setattr(lanes, "WAYS", 10)
+    joins = found()
+    used = [max(x[2] for x in some.values()) for some in whole[2:]]
+    assert 5 < used[0] < used[1] < len(whole[0])
+    for a, b in zip(whole, joins):
+        assert a.keys() == b.keys() and all(x == pytest.approx(b[k]) for k, x in a.items())
+
+
 def test_dependencies_of_long_and_parted_graphs():
     """More levels than a byte counts, a part that the source does not reach, and a hub."""
     pairs = [(i, i + 1) for i in range(300)] + [(0, i) for i in range(301, 340)] + [(400, 401)]
